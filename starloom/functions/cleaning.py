@@ -27,7 +27,7 @@ def _clean_column(field: T.StructField, null_as_zero: bool) -> Column:
             parsed = F.try_to_timestamp(column, F.lit("yyyy-MM-dd"))
             clamped = F.date_format(_clean_timestamp(parsed), "yyyy-MM-dd HH:mm:ss")
             # Text that is no date stays as it is, as text.
-            return F.coalesce(clamped, column)
+            return F.when(parsed.isNotNull(), clamped).otherwise(column)
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             # least() would turn a NULL date into the clamp value.
             return F.when(column.isNotNull(), _clean_timestamp(column))

@@ -31,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = dt.datetime(2001, 12, 1)
 #: Reference day of the error log derived from the events.
 ERRORS_AS_OF = dt.date(2024, 1, 30)
+#: The calendar has to reach the events of 2024.
+YEARS_AHEAD = 30
 CHANGE_DAY = dt.date(2000, 1, 1)
 RETURN_DAY = dt.date(2001, 1, 1)
 LINEAGE = ("ETLBatchID", "LoadTimestamp", "SnapshotCreatedDateTime")
@@ -45,12 +47,16 @@ def portable(df: DataFrame) -> DataFrame:
     )
 
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+def _test_warehouse(spark: SparkSession, sources) -> Warehouse:
     return Warehouse.from_sources(
-        spark, tpch_sources(spark, folder), AS_OF, calendar_start=CALENDAR_START, loaded_at=LOADED_AT
+        spark, sources, AS_OF, calendar_start=CALENDAR_START, years_ahead=YEARS_AHEAD, loaded_at=LOADED_AT
     )
 
 
+def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return _test_warehouse(spark, tpch_sources(spark, folder))
+
+
 def gapped_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """A warehouse whose customers and products are incomplete, so that keys miss."""
     src = tpch_sources(spark, folder)
@@ -58,11 +64,9 @@ def gapped_warehouse(spark: SparkSession, folder: str) -> Warehouse:
         Sales__Customer=src["Sales.Customer"].filter("CustomerID % 50 <> 7"),
         Production__Product=src["Production.Product"].filter("ProductID % 40 <> 3"),
     )
-    partial = Warehouse.from_sources(spark, late, AS_OF, calendar_start=CALENDAR_START, loaded_at=LOADED_AT)
-    full = Warehouse.from_sources(spark, src, AS_OF, calendar_start=CALENDAR_START, loaded_at=LOADED_AT)
+    partial = _test_warehouse(spark, late)
     # The facts come from the full source; only the dimensions lag behind.
-    partial._tables["extract:FactSales"] = lambda: full.table("extract:FactSales")
-    return partial
+    return partial.with_extract("FactSales", lambda: _test_warehouse(spark, src).table("extract:FactSales"))
 
 
 # -- customer versions over three days ---------------------------------------

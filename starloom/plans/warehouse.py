@@ -100,6 +100,12 @@ class Warehouse:
                 copy._tables[spec.name] = lambda s=spec: copy.resolve(s.name).valid
         return copy
 
+    def with_extract(self, fact: str, load: Callable[[], DataFrame]) -> "Warehouse":
+        """A copy that resolves other extracted rows of one fact."""
+        copy = self.replaced()
+        copy._tables[f"extract:{fact}"] = load
+        return copy
+
     # -- access -------------------------------------------------------------
 
     def __contains__(self, name: str) -> bool:
