@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 EXPANSION = 8
 
 
+_UNITS = {"k": 1024, "m": 1024**2, "g": 1024**3}
+
+
+def _bytes(setting: str) -> int:
+    """Bytes of a Spark size setting such as 10485760, 10m or 10MB."""
+    text = setting.strip().lower().removesuffix("b")
+    return int(text[:-1]) * _UNITS[text[-1]] if text[-1] in _UNITS else int(text)
+
+
 def broadcast_limit(spark) -> int:
     """The session's own broadcast threshold in bytes; -1 switches hints off."""
-    value = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    text = str(value).strip().lower()
-    for suffix, factor in (("kb", 1024), ("mb", 1024**2), ("gb", 1024**3), ("k", 1024), ("m", 1024**2), ("g", 1024**3), ("b", 1)):
-        if text.endswith(suffix):
-            return int(float(text[: -len(suffix)])) * factor
-    return int(text)
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -37,6 +41,21 @@ def small_side(df: DataFrame, driver: DataFrame | None = None) -> DataFrame:
     return F.broadcast(df) if 0 <= bound <= limit else df
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small scan over all cores.
+
+    A file of a few megabytes is read by fewer tasks than there are cores, and
+    with broadcast joins everything up to the first aggregation would stay in
+    those tasks.  Larger scans have splits enough and are returned as they are.
+    """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4194304"))
+    if planned_bytes(scan) > split * cores / 2:
+        return scan
+    return scan.repartition(cores, *keys)
+
+
 def current(dimension: DataFrame) -> DataFrame:
     """Latest version of each member; the flag itself is dropped by column pruning."""
     return dimension.filter(F.col("IsCurrent") == 1)

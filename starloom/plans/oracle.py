@@ -1017,6 +1017,16 @@ _SQL = {
         SELECT round((epoch(max(l_shipdate)) - epoch(max(o_orderdate))) / 3600.0, 2) AS "LagHours",
                CASE WHEN (epoch(max(l_shipdate)) - epoch(max(o_orderdate))) / 3600.0 <= 4 THEN 1 ELSE 0 END AS "WithinSla"
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    # streams
+    "stream_monthly_sales": f"""
+        SELECT CAST(date_trunc('month', day) AS DATE) AS "Month", CAST(sum(revenue) AS DOUBLE) AS "RevenueSum",
+               count(*) AS "RowCount", CAST(min(revenue) AS DOUBLE) AS "RevenueMin", CAST(max(revenue) AS DOUBLE) AS "RevenueMax",
+               {rnd("CAST(sum(revenue) AS DOUBLE) / count(*)", 2)} AS "RevenueAvg",
+               count(DISTINCT customer_id) AS "DistinctMembers" FROM w_sold GROUP BY 1""",
+    "stream_hourly_events": """
+        SELECT date_trunc('hour', ts) AS "SalesHour", event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "Revenue",
+               count(*) AS "TransactionCount" FROM events GROUP BY 1, 2""",
+    "stream_fact_load": f"SELECT {_LATE_OUT} FROM w_late WHERE miss_1 IS NULL AND miss_2 IS NULL",
     # data quality
     "dq_validate_measures": """
         WITH x AS (SELECT l_orderkey, l_linenumber,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import cleaning
-from starloom.functions.dates import coerce_date
+from starloom.functions.dates import coerce_date, truncate
 from starloom.functions.keys import COMPACT_KEYS, WIDE_KEYS, surrogate_key
 from starloom.functions.measures import exact_avg, money_sum
 from starloom.operators import facts as fact_builders
@@ -24,7 +24,17 @@ from starloom.plans import reports, views
 from starloom.plans.warehouse import Warehouse
 from starloom.sources import calendar
 from starloom.sources.literals import literal_table
-from starloom.sources.tpch import AS_OF, CALENDAR_START, read_test_table, test_error_records, tpch_sources
+from starloom.session import scratch_dir
+from starloom.sources.tpch import (
+    AS_OF,
+    CALENDAR_START,
+    read_test_table,
+    stream_test_table,
+    test_error_records,
+    tpch_sources,
+)
+from starloom.streaming.loads import load_fact_stream
+from starloom.streaming.rollups import RollupState, hourly_sums, maintain_rollup, read_rollup, write_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,12 +63,27 @@ def _test_warehouse(spark: SparkSession, sources) -> Warehouse:
     )
 
 
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared(kind: str, spark: SparkSession, folder: str, build):
+    """One set of lazy tables per session and folder: plans are shared, never data."""
+    key = (kind, spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), folder)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return _test_warehouse(spark, tpch_sources(spark, folder))
+    return _shared("full", spark, folder, lambda: _test_warehouse(spark, tpch_sources(spark, folder)))
 
 
 def gapped_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """A warehouse whose customers and products are incomplete, so that keys miss."""
+    return _shared("gapped", spark, folder, lambda: _gapped(spark, folder))
+
+
+def _gapped(spark: SparkSession, folder: str) -> Warehouse:
     src = tpch_sources(spark, folder)
     late = src.replaced(
         Sales__Customer=src["Sales.Customer"].filter("CustomerID % 50 <> 7"),
@@ -66,7 +91,7 @@ def gapped_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     )
     partial = _test_warehouse(spark, late)
     # The facts come from the full source; only the dimensions lag behind.
-    return partial.with_extract("FactSales", lambda: _test_warehouse(spark, src).table("extract:FactSales"))
+    return partial.with_extract("FactSales", lambda: warehouse(spark, folder).table("extract:FactSales"))
 
 
 # -- customer versions over three days ---------------------------------------
@@ -739,3 +764,40 @@ def customer_order_averages(spark, folder):
         F.min("OrderDate").alias("FirstOrderDate"),
         F.max("OrderDate").alias("LastOrderDate"),
     )
+
+
+# -- streams: the table's files arrive, the query runs until it has taken them all --
+
+
+@query("stream_monthly_sales")
+def stream_monthly_sales(spark, folder):
+    """Monthly sales from partial states kept per micro-batch."""
+    src = tpch_sources(spark, folder, lineitem=stream_test_table(spark, folder, "lineitem"))
+    sales = fact_builders.build_fact_sales(src, AS_OF).withColumn("Month", truncate("month", "SalesDateKey"))
+    state = RollupState(keys=("Month",), measure="SalesRevenue", distinct="CustomerID")
+    path = scratch_dir(spark, "stream")
+    maintain_rollup(sales, state, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    return read_rollup(spark, state, f"{path}/state")
+
+
+@query("stream_hourly_events")
+def stream_hourly_events(spark, folder):
+    """Event values per hour and type in tumbling windows with a watermark."""
+    events = stream_test_table(spark, folder, "events")
+    hours = hourly_sums(events, "ts", ["event_type"], F.col("value").cast("decimal(18,2)"))
+    path = scratch_dir(spark, "stream")
+    write_updates(hours, f"{path}/hours", f"{path}/checkpoint").awaitTermination()
+    updates = spark.read.parquet(f"{path}/hours")
+    return scd.dedup_latest(updates, ["SalesHour", "event_type"], [F.desc("batch_id")]).drop("batch_id")
+
+
+@query("stream_fact_load")
+def stream_fact_load(spark, folder):
+    """Order lines resolved as they arrive, while some members are late."""
+    src = tpch_sources(spark, folder, lineitem=stream_test_table(spark, folder, "lineitem"))
+    sales, path = fact_builders.build_fact_sales(src, AS_OF), scratch_dir(spark, "stream")
+    key_maps = gapped_warehouse(spark, folder).key_map
+    load_fact_stream(
+        sales, fact_builders.FACTS["FactSales"], key_maps, path, f"{path}/checkpoint", LOADED_AT
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/FactSales").drop("batch_id")

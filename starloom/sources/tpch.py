@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.lookups import spread
 from starloom.sources.catalog import Sources
 
 #: Reference date: later than every order and ship date of the test tables.
@@ -53,12 +54,24 @@ def read_test_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _lines(t: Sources) -> DataFrame:
+    lines = t["lineitem"]
+    return lines if lines.isStreaming else spread(lines, "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def stream_test_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One test table as a stream of its files."""
+    reader = spark.readStream.schema(TEST_TABLES[name]).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(folder)
+
+
 def read_test_tables(spark: SparkSession, folder: str) -> Sources:
     return Sources({name: (lambda n=name: read_test_table(spark, folder, n)) for name in TEST_TABLES})
 
 
-def tpch_sources(spark: SparkSession, folder: str) -> Sources:
-    t = read_test_tables(spark, folder)
+def tpch_sources(spark: SparkSession, folder: str, **tables: DataFrame) -> Sources:
+    """The operational tables over ``folder``; test tables can be replaced, e.g. by streams."""
+    t = read_test_tables(spark, folder).replaced(**tables)
 
     def orders_header():
         return t["orders"].selectExpr(
@@ -77,12 +90,12 @@ def tpch_sources(spark: SparkSession, folder: str) -> Sources:
         )
 
     def order_detail():
-        return t["lineitem"].selectExpr(
+        return _lines(t).selectExpr(
             "l_orderkey AS SalesOrderID",
             "l_linenumber AS SalesOrderDetailID",
             "l_partkey AS ProductID",
-            "cast(l_quantity as int) AS OrderQty",
-            "cast(cast(l_extendedprice as decimal(18,2)) / cast(l_quantity as int) as decimal(19,4)) AS UnitPrice",
+            "cast(l_quantity as smallint) AS OrderQty",
+            "cast(cast(l_extendedprice as decimal(18,2)) / cast(l_quantity as smallint) as decimal(12,4)) AS UnitPrice",
             "cast(l_discount as decimal(18,4)) AS UnitPriceDiscount",
             "cast(round(l_discount * 100) as bigint) AS SpecialOfferID",
         )
@@ -310,11 +323,11 @@ def tpch_sources(spark: SparkSession, folder: str) -> Sources:
         return t["region"].selectExpr("r_regionkey AS LocationID", "r_name AS Name", "DATE'1995-01-01' AS ModifiedDate")
 
     def work_order():
-        return t["lineitem"].selectExpr(
+        return _lines(t).selectExpr(
             "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), cast(l_suppkey as string))"
             " AS WorkOrderID",
             "l_partkey AS ProductID",
-            "cast(l_quantity as int) AS OrderQty",
+            "cast(l_quantity as smallint) AS OrderQty",
             "cast(cast(l_quantity as bigint) * cast(round(l_tax * 100) as bigint) DIV 50 as int) AS ScrappedQty",
             "l_shipdate AS StartDate",
             "CASE WHEN l_linestatus = 'F' THEN timestampadd(HOUR, cast(6 * (l_partkey % 40) as int), l_shipdate) END"
@@ -347,12 +360,12 @@ def tpch_sources(spark: SparkSession, folder: str) -> Sources:
         )
 
     def purchase_detail():
-        return t["lineitem"].selectExpr(
+        return _lines(t).selectExpr(
             "l_orderkey AS PurchaseOrderID",
             "l_linenumber AS PurchaseOrderDetailID",
             "l_partkey AS ProductID",
-            "cast(l_quantity as int) AS OrderQty",
-            "cast(cast(l_extendedprice as decimal(18,2)) / cast(l_quantity as int) as decimal(19,4)) AS UnitPrice",
+            "cast(l_quantity as smallint) AS OrderQty",
+            "cast(cast(l_extendedprice as decimal(18,2)) / cast(l_quantity as smallint) as decimal(12,4)) AS UnitPrice",
         )
 
     def offer():
