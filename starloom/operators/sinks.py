@@ -116,18 +116,43 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str, sort: Sequenc
     )
 
 
-def append_errors(errors: DataFrame, path: str, batch_id: str) -> None:
-    """Log the errors of a batch, partitioned by month and batch.
+#: Folder levels of the error log; they repeat columns of the records.
+ERROR_PARTITIONS = ("batch", "source", "month")
 
-    The batch's own partitions are replaced, so a repeated batch does not log twice.
+
+def error_folders(errors: DataFrame) -> DataFrame:
+    return errors.withColumns(
+        {
+            "batch": F.concat(F.lit("id_"), F.col("ProcessingBatchID")),
+            "source": F.col("SourceTable"),
+            "month": F.date_format("ErrorDate", "yyyyMM").cast("int"),
+        }
+    )
+
+
+def append_errors(errors: DataFrame, path: str, batch_id: str, source: str) -> None:
+    """Log the errors of one table in one batch.
+
+    They have a folder of their own, which a repeated batch replaces, also
+    when it has no errors any more.
     """
-    month = F.date_format("ErrorDate", "yyyyMM").cast("int")
     (
-        errors.withColumn("ProcessingBatchID", F.lit(batch_id))
-        .withColumn("ErrorMonth", month)
+        error_folders(errors)
+        .drop("batch", "source")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("month")
+        .parquet(f"{path}/batch=id_{batch_id}/source={source}")
+    )
+
+
+def rewrite_errors(errors: DataFrame, path: str) -> None:
+    """Replace whole log partitions; ``errors`` has all rows of each partition it touches."""
+    (
+        error_folders(errors)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ErrorMonth", "ProcessingBatchID")
+        .partitionBy(*ERROR_PARTITIONS)
         .parquet(path)
     )
 

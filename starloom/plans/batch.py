@@ -88,7 +88,7 @@ def load_fact(
     passed = resolved.tagged.filter(by_outcome == "valid").select(*resolved.valid.columns)
     sinks.overwrite_partitions(passed, f"{root}/{spec.name}", spec.date_key, spec.sort)
     failed = resolved.errors(batch_id, loaded_at, payload_columns=None)
-    sinks.append_errors(failed, f"{root}/{ERRORS}", batch_id)
+    sinks.append_errors(failed, f"{root}/{ERRORS}", batch_id, spec.name)
 
 
 def load_facts(spark, src, root, as_of, batch_id, names: Iterable[str] | None = None, **options) -> None:
@@ -126,30 +126,33 @@ def retry_fact(
     spark: SparkSession, spec: FactSpec, schema: T.StructType, root: str, batch_id: str, now: dt.datetime,
     limit: int | None = 100,
 ) -> None:
-    """Retry the open misses of one fact against the dimensions as they are now."""
+    """Retry the open misses of one fact against the dimensions as they are now.
+
+    What is retried is fixed on disk first: the rows inserted and the errors
+    marked as resolved must be the same.  Facts and log are then rewritten only
+    in the partitions concerned, and doing it twice adds nothing.
+    """
     stored = Warehouse.from_storage(spark, root)
     errors = stored.table(ERRORS)
-    due = retry_candidates(errors.filter(F.col("SourceTable") == spec.name), now, limit)
-    # The candidates are fixed on disk first: what is inserted and what is
-    # marked as resolved must be the same rows.
     chosen = f"{root}/_staging/retry_{spec.name}/{batch_id}"
-    sinks.overwrite(due, chosen)
-    due = spark.read.parquet(chosen)
+    due = retry_candidates(errors.filter(F.col("SourceTable") == spec.name), now, limit)
+    sinks.overwrite(due, f"{chosen}/due")
+    due = spark.read.parquet(f"{chosen}/due")
     outcome = retry_errors(due, schema, lambda rows: resolve_fks(rows, spec, stored.key_map), now)
-    path = f"{root}/{spec.name}"
-    fresh = outcome.facts
-    days = fresh.select(spec.date_key).distinct()
-    columns = stored.table(spec.name).columns
-    touched = stored.table(spec.name).join(days, spec.date_key, "left_semi")
-    merged = f"{chosen}_facts"
-    sinks.overwrite(sinks.upsert_rows(touched, fresh.select(*columns), columns), merged)
-    sinks.overwrite_partitions(spark.read.parquet(merged), path, spec.date_key, spec.sort)
-    log = f"{chosen}_log"
-    sinks.overwrite(apply_error_updates(errors, outcome.errors), log)
-    updated = spark.read.parquet(log).select(*errors.columns)
-    updated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "ErrorMonth", "ProcessingBatchID"
-    ).parquet(f"{root}/{ERRORS}")
+
+    facts = stored.table(spec.name)
+    fresh = outcome.facts.select(*facts.columns)
+    touched = facts.join(fresh.select(spec.date_key).distinct(), spec.date_key, "left_semi")
+    sinks.overwrite(sinks.upsert_rows(touched, fresh, facts.columns), f"{chosen}/facts")
+    sinks.overwrite_partitions(
+        spark.read.parquet(f"{chosen}/facts"), f"{root}/{spec.name}", spec.date_key, spec.sort
+    )
+
+    places = list(sinks.ERROR_PARTITIONS)
+    concerned = sinks.error_folders(due).select(*places).distinct()
+    log = sinks.error_folders(errors).join(concerned, places, "left_semi").drop(*places)
+    sinks.overwrite(apply_error_updates(log, outcome.errors), f"{chosen}/log")
+    sinks.rewrite_errors(spark.read.parquet(f"{chosen}/log"), f"{root}/{ERRORS}")
 
 
 def run_batch(

@@ -13,6 +13,7 @@ from starloom.functions.lookups import current, small_side
 from starloom.operators.dimensions import DIMENSIONS
 from starloom.operators.facts import FACTS, FKSpec
 from starloom.operators.fk import Resolved, key_map, resolve_fks
+from starloom.operators.quarantine import ERROR_COLUMNS
 from starloom.operators.scd import initial_versions
 from starloom.sources import calendar
 from starloom.sources.literals import LITERAL_TABLES, literal_table
@@ -85,8 +86,10 @@ class Warehouse:
         """Tables written by ``plans.batch``; file sizes let Spark choose the joins itself."""
         from starloom.operators.sinks import read_table
 
-        names = [*DIMENSIONS, *LITERAL_TABLES, "DimDate", *FACTS, "error_records"]
-        return cls(spark, {n: (lambda n=n: read_table(spark, f"{root}/{n}")) for n in names})
+        names = [*DIMENSIONS, *LITERAL_TABLES, "DimDate", *FACTS]
+        tables = {n: (lambda n=n: read_table(spark, f"{root}/{n}")) for n in names}
+        tables["error_records"] = lambda: read_table(spark, f"{root}/error_records").select(*ERROR_COLUMNS)
+        return cls(spark, tables)
 
     def replaced(self, **tables: DataFrame) -> "Warehouse":
         """A copy in which some tables are given."""

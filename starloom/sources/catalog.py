@@ -55,6 +55,9 @@ class Sources(Mapping):
             self._loaded[name] = loader if isinstance(loader, DataFrame) else loader()
         return self._loaded[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._loaders
+
     def __iter__(self):
         return iter(self._loaders)
 
