@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from starloom.functions.bands import band, first_match
 from starloom.functions.dates import FAR_FUTURE, whole_years
 from starloom.functions.keys import WIDE_KEYS, KeyPolicy, surrogate_key
+from starloom.functions.lookups import nullable_left_join
 
 Sources = Mapping[str, DataFrame]
 
@@ -110,15 +111,11 @@ def build_dim_customer(src: Sources, as_of: dt.date, keys: KeyPolicy = WIDE_KEYS
     )
     # Joins on the same key sit next to each other, so beyond the broadcast
     # limit the customers are shuffled once for all four.
-    base = (
-        src["Sales.Customer"]
-        .join(person, "PersonID", "left")
-        .join(email, "PersonID", "left")
-        .join(phone, "PersonID", "left")
-        .join(income, "PersonID", "left")
-        .join(store, "StoreID", "left")
-        .withColumn("_entity", F.coalesce("PersonID", "StoreID"))
-    )
+    base = src["Sales.Customer"]
+    for side in (person, email, phone, income):
+        base = nullable_left_join(base, side, "PersonID", ["CustomerID"])
+    base = nullable_left_join(base, store, "StoreID", ["CustomerID"])
+    base = base.withColumn("_entity", F.coalesce("PersonID", "StoreID"))
     base = _with_address(base, src, "_entity")
     base = base.join(order_totals_by_customer(src), F.col("CustomerID") == F.col("_buyer"), "left")
 

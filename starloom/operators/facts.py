@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.bands import first_match
 from starloom.functions.keys import WIDE_KEYS, KeyPolicy, hash_uniform, surrogate_key
-from starloom.functions.lookups import small_side
+from starloom.functions.lookups import nullable_left_join, small_side
 
 Sources = Mapping[str, DataFrame]
 
@@ -46,23 +46,32 @@ def _customer_store(src: Sources) -> DataFrame:
     return src["Sales.Customer"].select("CustomerID", "StoreID")
 
 
+def _small_orders(orders: DataFrame, source: DataFrame, *used: str) -> DataFrame:
+    """Orders with their customer's columns as a join side: one row per source order."""
+    return small_side(orders, source.select(*used))
+
+
 def _known_product(src: Sources) -> DataFrame:
     return src["Production.Product"].select("ProductID")
 
 
 def build_fact_sales(src: Sources, as_of: dt.date, **_) -> DataFrame:
     """One row per order line."""
-    header = src["Sales.SalesOrderHeader"].select(
-        "SalesOrderID", F.col("OrderDate").cast("date").alias("SalesDateKey"),
-        F.col("CustomerID").alias("_buyer"), F.col("SalesPersonID").alias("EmployeeID"),
-    )
     customer = _customer_store(src)
     product = _known_product(src)
+    # Orders are fewer than lines: what depends on the order is joined to it first.
+    header = (
+        src["Sales.SalesOrderHeader"]
+        .select(
+            "SalesOrderID", F.col("OrderDate").cast("date").alias("SalesDateKey"),
+            F.col("CustomerID").alias("_buyer"), F.col("SalesPersonID").alias("EmployeeID"),
+        )
+        .join(customer, F.col("_buyer") == customer["CustomerID"], "left")
+    )
     detail = src["Sales.SalesOrderDetail"].withColumnRenamed("ProductID", "_item")
     price, quantity, share = F.col("UnitPrice"), F.col("OrderQty"), F.col("UnitPriceDiscount")
     return (
-        detail.join(header, "SalesOrderID")
-        .join(customer, F.col("_buyer") == customer["CustomerID"], "left")
+        detail.join(_small_orders(header, src["Sales.SalesOrderHeader"], "SalesOrderID", "CustomerID"), "SalesOrderID")
         .join(product, F.col("_item") == product["ProductID"], "left")
         .select(
             "SalesDateKey",
@@ -85,17 +94,18 @@ def build_fact_sales(src: Sources, as_of: dt.date, **_) -> DataFrame:
 
 def build_fact_purchases(src: Sources, as_of: dt.date, **_) -> DataFrame:
     """One row per purchase-order line; purchases carry no discount."""
-    header = src["Purchasing.PurchaseOrderHeader"].select(
-        "PurchaseOrderID", F.col("OrderDate").cast("date").alias("PurchaseDateKey"), "VendorID"
-    )
     vendor = src["Purchasing.Vendor"].select(F.col("BusinessEntityID").alias("VendorID"))
+    header = (
+        src["Purchasing.PurchaseOrderHeader"]
+        .select("PurchaseOrderID", F.col("OrderDate").cast("date").alias("PurchaseDateKey"), "VendorID")
+        .join(vendor, "VendorID")
+    )
     price, quantity = F.col("UnitPrice"), F.col("OrderQty")
     amount = _money(price * quantity)
     return (
         src["Purchasing.PurchaseOrderDetail"]
-        .join(header, "PurchaseOrderID")
+        .join(_small_orders(header, src["Purchasing.PurchaseOrderHeader"], "PurchaseOrderID"), "PurchaseOrderID")
         .join(_known_product(src), "ProductID")
-        .join(vendor, "VendorID")
         .select(
             "PurchaseDateKey",
             "VendorID",
@@ -119,14 +129,15 @@ def latest_store_by_product(src: Sources) -> DataFrame:
     An aggregate with map-side combine instead of a top-1 query per product:
     each task sends at most one row per product, however hot the product.
     """
-    header = src["Sales.SalesOrderHeader"].select("SalesOrderID", "OrderDate", "CustomerID")
     store = src["Sales.Store"].select(F.col("BusinessEntityID").alias("StoreID"))
     buyers = _customer_store(src).join(small_side(store), "StoreID", "left_semi")
+    header = (
+        src["Sales.SalesOrderHeader"].select("SalesOrderID", "OrderDate", "CustomerID").join(buyers, "CustomerID")
+    )
     return (
         src["Sales.SalesOrderDetail"]
         .select("SalesOrderID", "ProductID")
-        .join(header, "SalesOrderID")
-        .join(buyers, "CustomerID")
+        .join(_small_orders(header, src["Sales.SalesOrderHeader"], "SalesOrderID", "CustomerID"), "SalesOrderID")
         .groupBy("ProductID")
         .agg(F.max(F.struct("OrderDate", "SalesOrderID", "StoreID")).alias("_last"))
         .select("ProductID", F.col("_last.StoreID").alias("StoreID"))
@@ -175,7 +186,7 @@ def build_fact_production(
             F.col("StartDate").cast("date").alias("ProductionDateKey"),
             "ProductID",
             F.lit(None).cast("bigint").alias("SupervisorID"),
-            ordered.alias("UnitsProduced"),
+            ordered.cast("int").alias("UnitsProduced"),
             (seconds / F.lit(3600)).cast("decimal(10,2)").alias("ProductionTimeHours"),
             F.round(scrap, 2).cast("decimal(5,2)").alias("ScrapRatePercent"),
             scrapped.alias("DefectCount"),
@@ -189,6 +200,10 @@ def build_fact_employee_sales(
 ) -> DataFrame:
     """Sales per day, sales person, store and territory against the monthly quota."""
     store = src["Sales.Store"].select(F.col("BusinessEntityID").alias("StoreID"), F.lit(True).alias("_known"))
+    # The store belongs to the customer, so it is checked there, not once per order.
+    buyers = nullable_left_join(_customer_store(src), small_side(store), "StoreID", ["CustomerID"]).select(
+        "CustomerID", F.when(F.col("_known"), F.col("StoreID")).alias("StoreID")
+    )
     territory = src["Sales.SalesTerritory"].select(F.col("TerritoryID"), F.lit(True).alias("_area_known"))
     seller = (
         src["Sales.SalesPerson"]
@@ -212,9 +227,7 @@ def build_fact_employee_sales(
             "CustomerID", "SubTotal",
         )
         .join(seller, "EmployeeID")
-        .join(_customer_store(src), "CustomerID", "left")
-        .join(store, "StoreID", "left")
-        .withColumn("StoreID", F.when(F.col("_known"), F.col("StoreID")))
+        .join(buyers, "CustomerID", "left")
         .groupBy("SalesDateKey", "EmployeeID", "StoreID", "TerritoryID", "SalesQuota")
         .agg(F.sum("SubTotal").alias("_sales"), F.countDistinct("CustomerID").alias("CustomerContactsCount"))
         .select(
@@ -253,8 +266,8 @@ def build_fact_customer_feedback(
         .join(subcategory, "ProductSubcategoryID", "left")
         .join(category, "ProductCategoryID", "left")
         .join(address, "_mail", "left")
-        .join(customer, "_person", "left")
-        .join(employee, "_person", "left")
+        .transform(nullable_left_join, customer, "_person", ["ProductReviewID"])
+        .transform(nullable_left_join, employee, "_person", ["ProductReviewID"])
         .select(
             F.col("ReviewDate").cast("date").alias("FeedbackDateKey"),
             "CustomerID",
@@ -275,11 +288,16 @@ def build_fact_promotion_response(
     src: Sources, as_of: dt.date, batch_id: str = "manual", loaded_at: dt.datetime | None = None, **_
 ) -> DataFrame:
     """Sales per day, product, store and offer."""
-    header = src["Sales.SalesOrderHeader"].select(
-        "SalesOrderID", F.col("OrderDate").cast("date").alias("PromotionDateKey"), F.col("CustomerID").alias("_buyer")
+    customer = src["Sales.Customer"].select(F.col("CustomerID").alias("_buyer"), "StoreID")
+    header = (
+        src["Sales.SalesOrderHeader"]
+        .select(
+            "SalesOrderID", F.col("OrderDate").cast("date").alias("PromotionDateKey"),
+            F.col("CustomerID").alias("_buyer"),
+        )
+        .join(customer, "_buyer", "left")
     )
     offer = src["Sales.SpecialOffer"].select("SpecialOfferID")
-    customer = src["Sales.Customer"].select(F.col("CustomerID").alias("_buyer"), "StoreID")
     offered = (
         src["Sales.SpecialOfferProduct"]
         .select("SpecialOfferID", "ProductID")
@@ -291,8 +309,7 @@ def build_fact_promotion_response(
     rows = (
         src["Sales.SalesOrderDetail"]
         .join(offered, ["SpecialOfferID", "ProductID"])
-        .join(header, "SalesOrderID")
-        .join(customer, "_buyer", "left")
+        .join(_small_orders(header, src["Sales.SalesOrderHeader"], "SalesOrderID", "CustomerID"), "SalesOrderID")
         .groupBy("PromotionDateKey", "ProductID", "StoreID", F.col("SpecialOfferID").alias("PromotionID"))
         .agg(
             _money(F.sum(net)).alias("SalesDuringCampaign"),
@@ -361,6 +378,7 @@ def build_fact_returns(
         src["Sales.SalesOrderHeader"]
         .filter((F.col("Status") == SHIPPED_STATUS) & F.col("OrderDate").isNotNull())
         .select("SalesOrderID", "OrderDate", "OnlineOrderFlag", "CustomerID")
+        .join(_customer_store(src), "CustomerID")
     )
     quantity, price = F.col("OrderQty"), F.col("UnitPrice")
     part = F.greatest(F.lit(1), F.round(quantity * draw("quantity") * 0.5).cast("int"))
@@ -372,8 +390,7 @@ def build_fact_returns(
     rows = (
         src["Sales.SalesOrderDetail"]
         .filter(draw("sample") < RETURN_SHARE)
-        .join(header, "SalesOrderID")
-        .join(_customer_store(src), "CustomerID")
+        .join(_small_orders(header, src["Sales.SalesOrderHeader"], "SalesOrderID", "CustomerID"), "SalesOrderID")
         .join(_known_product(src), "ProductID")
         .withColumn("ReturnedQuantity", returned)
         .select(

@@ -9,16 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.lookups import current, small_side
+from starloom.functions.lookups import current, nullable_left_join, small_side
 from starloom.operators.facts import FACTS, FactSpec, FKSpec, record_natural_key
 from starloom.operators.quarantine import PAYLOAD_COLUMNS, build_error_records, payload_json
 
 KeyMaps = Callable[[FKSpec], DataFrame]
 
 _MISSES = "_fk_misses"
-_SPREAD = "_fk_spread"
-#: Rows without a key are dealt over this many sub-keys when a join shuffles.
-NULL_SPREAD = 256
 
 
 def key_map(dimension: DataFrame, fk: FKSpec, surrogate: str) -> DataFrame:
@@ -36,18 +33,13 @@ def _miss_message(fk: FKSpec) -> Column:
     )
 
 
-def _look_up(df: DataFrame, fk: FKSpec, members: DataFrame) -> DataFrame:
+def _look_up(df: DataFrame, fk: FKSpec, members: DataFrame, row_key: list[str]) -> DataFrame:
     natural, surrogate = members.columns[0], members.columns[1]
-    side = members.select(
-        F.col(natural).alias("_nk"), F.col(surrogate).alias(fk.insert), F.lit(0).alias("_zero")
-    )
     if fk.required:
-        return df.join(side.drop("_zero"), F.col(fk.extract) == F.col("_nk"), "left").drop("_nk")
-    # An optional key may be NULL in a large share of the rows; they match
-    # nothing, so they must not meet in one shuffle partition.
-    spread = F.when(F.col(fk.extract).isNull(), F.col(_SPREAD)).otherwise(F.lit(0))
-    on = (F.col(fk.extract) == F.col("_nk")) & (spread == F.col("_zero"))
-    return df.join(side, on, "left").drop("_nk", "_zero")
+        side = members.select(F.col(natural).alias("_nk"), F.col(surrogate).alias(fk.insert))
+        return df.join(side, F.col(fk.extract) == F.col("_nk"), "left").drop("_nk")
+    side = members.select(F.col(natural).alias(fk.extract), F.col(surrogate).alias(fk.insert))
+    return nullable_left_join(df, side, fk.extract, row_key)
 
 
 @dataclass
@@ -121,12 +113,10 @@ def resolve_fks(
     spec = FACTS[spec] if isinstance(spec, str) else spec
     fks = tuple(fks) if fks is not None else spec.fks
     extract_columns = list(fact.columns)
+    row_key = [fk.extract for fk in fks] + [c for c in spec.record_key if c in fact.columns]
     df = fact
-    if any(not fk.required for fk in fks):
-        keys = [F.col(fk.extract) for fk in fks] + [F.col(c) for c in spec.record_key if c in fact.columns]
-        df = df.withColumn(_SPREAD, F.pmod(F.xxhash64(*keys), F.lit(NULL_SPREAD)).cast("int"))
     for fk in fks:
-        df = _look_up(df, fk, key_maps(fk))
+        df = _look_up(df, fk, key_maps(fk), row_key)
     misses = [F.when(F.col(fk.insert).isNull(), _miss_message(fk)) for fk in fks if fk.required]
     if on_missing == "default" or not misses:
         tags = F.array().cast("array<string>")
@@ -135,7 +125,8 @@ def resolve_fks(
     df = df.withColumn(_MISSES, tags).withColumns(
         {fk.insert: F.coalesce(F.col(fk.insert), F.lit(fk.default).cast("bigint")) for fk in fks}
     )
-    return Resolved(df.drop(_SPREAD), spec, extract_columns)
+    kept = [*extract_columns, *[fk.insert for fk in fks], _MISSES]
+    return Resolved(df.select(*kept), spec, extract_columns)
 
 
 def attach_current(fact: DataFrame, dimension: DataFrame, natural_key: str, columns: Iterable[str]) -> DataFrame:

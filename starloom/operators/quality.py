@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from starloom.functions.lookups import current, small_side
 from starloom.functions.measures import exact_avg
 from starloom.operators.scd import dedup_latest
+from starloom.schemas import SchemaMismatch
 
 
 @dataclass(frozen=True)
@@ -62,10 +63,6 @@ RANGE_RULES = RuleSet(
 NULL_DEFAULTS = {"CustomerName": "UNKNOWN", "Email": "", "Age": -1, "Amount": 0, "Flag": 0}
 
 
-class SchemaMismatch(ValueError):
-    """A required column is missing or has another type."""
-
-
 def assert_schema(df: DataFrame, expected: T.StructType | Sequence[str]) -> DataFrame:
     """Fails before any data is read when columns are missing (or, given types, differ)."""
     if isinstance(expected, T.StructType):
@@ -152,11 +149,15 @@ def rowcount_drift(facts: DataFrame, day: str, low: int, high: int, tolerance: f
 
 
 def orphan_keys(facts: DataFrame, key: str, dimension: DataFrame, member_key: str) -> DataFrame:
-    """Fact rows per key without a member: the default key 0, or a dangling one."""
+    """Fact rows per key without a member: the default key 0, or a dangling one.
+
+    Counted per key first: the join sees each key once, however hot it is.
+    """
     members = dimension.select(F.col(member_key).alias("_member"))
-    orphans = facts.join(members, F.col(key) == F.col("_member"), "left_anti")
-    kind = F.when(F.col(key) == 0, "DEFAULT").otherwise("DANGLING").alias("Kind")
-    return orphans.groupBy(F.col(key).alias("OrphanKey"), kind).agg(F.count(F.lit(1)).alias("FactRows"))
+    counts = facts.groupBy(F.col(key).alias("OrphanKey")).agg(F.count(F.lit(1)).alias("FactRows"))
+    orphans = counts.join(members, F.col("OrphanKey") == F.col("_member"), "left_anti")
+    kind = F.when(F.col("OrphanKey") == 0, "DEFAULT").otherwise("DANGLING")
+    return orphans.select("OrphanKey", kind.alias("Kind"), "FactRows")
 
 
 def reconcile(source: DataFrame, target: DataFrame, day: str, amount: str) -> DataFrame:

@@ -11,25 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.keys import surrogate_key
+from starloom.schemas import table_schema
 from starloom.sources.literals import error_taxonomy
 
-ERROR_COLUMNS = (
-    "ErrorID",
-    "ErrorDate",
-    "SourceTable",
-    "RecordNaturalKey",
-    "ErrorType",
-    "ErrorSeverity",
-    "ErrorMessage",
-    "FailedData",
-    "ProcessingBatchID",
-    "TaskName",
-    "IsRecoverable",
-    "RetryCount",
-    "LastAttemptDate",
-    "IsResolved",
-    "ResolutionComment",
-)
+ERROR_COLUMNS = tuple(table_schema("error_records").names)
 
 #: Columns of the failed record kept in the log by default.
 PAYLOAD_COLUMNS = 8

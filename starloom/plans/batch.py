@@ -23,6 +23,7 @@ from starloom.operators.fk import resolve_fks
 from starloom.operators.quarantine import apply_error_updates, retry_candidates, retry_errors
 from starloom.operators.rollups import ROLLUPS
 from starloom.plans.warehouse import Warehouse
+from starloom.schemas import conform
 from starloom.sources import calendar
 from starloom.sources.literals import LITERAL_TABLES, literal_table
 
@@ -40,6 +41,7 @@ def next_dimension(
     if sinks.current_version(spark, path) is None:
         return scd.initial_versions(rows) if spec.scd2 else rows
     live = sinks.read_table(spark, path)
+    rows = conform(rows, spec.name)
     if spec.scd2:
         return scd.scd2_merge(rows, live, spec.natural_key, spec.key, as_of)
     return scd.scd1_sync(rows, live, spec.natural_key, spec.key)
@@ -53,7 +55,8 @@ def load_dimensions(
         spec = DIMENSIONS[name]
         # Re-running a batch must not merge into its own result.
         if sinks.current_version(spark, f"{root}/{name}") != batch_id:
-            sinks.publish(next_dimension(spark, spec, src, root, as_of, keys), f"{root}/{name}", batch_id)
+            rows = next_dimension(spark, spec, src, root, as_of, keys)
+            sinks.publish(conform(rows, name), f"{root}/{name}", batch_id)
     for name in LITERAL_TABLES:
         sinks.publish(literal_table(spark, name).coalesce(1), f"{root}/{name}", batch_id)
     sinks.publish(calendar.build_calendar(spark, as_of, calendar_start).coalesce(1), f"{root}/DimDate", batch_id)
@@ -86,7 +89,7 @@ def load_fact(
     resolved.tagged = spark.read.schema(kinds).parquet(staging)
     by_outcome = F.col("_outcome")
     passed = resolved.tagged.filter(by_outcome == "valid").select(*resolved.valid.columns)
-    sinks.overwrite_partitions(passed, f"{root}/{spec.name}", spec.date_key, spec.sort)
+    sinks.overwrite_partitions(conform(passed, spec.name), f"{root}/{spec.name}", spec.date_key, spec.sort)
     failed = resolved.errors(batch_id, loaded_at, payload_columns=None)
     sinks.append_errors(failed, f"{root}/{ERRORS}", batch_id, spec.name)
 
@@ -106,7 +109,7 @@ def refresh_rollup(spark: SparkSession, root: str, name: str, since: dt.date | N
     wh = Warehouse.from_storage(spark, root)
     unit = {"WeekStartDateKey": "week", "MonthStartDateKey": "month"}.get(period)
     if since is None or name == "agg_regional_sales":
-        sinks.overwrite(build(wh), f"{root}/{name}", period)
+        sinks.overwrite(conform(build(wh), name), f"{root}/{name}", period)
         return
     first = F.lit(since).cast("date")
     first = truncate(unit, first) if unit else first
@@ -115,7 +118,7 @@ def refresh_rollup(spark: SparkSession, root: str, name: str, since: dt.date | N
         for spec in FACTS.values()
         if spec.name in ("FactSales", "FactReturns", "FactInventory")
     }
-    sinks.overwrite_partitions(build(wh.replaced(**recent)), f"{root}/{name}", period)
+    sinks.overwrite_partitions(conform(build(wh.replaced(**recent)), name), f"{root}/{name}", period)
 
 
 def record_schema(src, spec: FactSpec, as_of: dt.date) -> T.StructType:

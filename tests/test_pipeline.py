@@ -275,3 +275,25 @@ def test_views_can_be_queried_by_name(spark):
     views.create_views(warehouse(spark, SMALL))
     row = spark.sql("SELECT count(*) AS n, count(DISTINCT StoreKey) AS s FROM vw_sales_by_store").collect()[0]
     assert row.n == row.s == 10
+
+
+def test_tables_are_written_with_their_declared_types(spark, stored):
+    from starloom.schemas import TABLES, table_schema
+
+    wh = Warehouse.from_storage(spark, stored[0])
+    for name in ("DimCustomer", "DimProduct", "DimStore", "DimVendor", "DimDate", "FactSales", "FactReturns"):
+        assert {f.name: f.dataType for f in wh.table(name).schema} == {
+            f.name: f.dataType for f in table_schema(name)
+        }, name
+    for view in TABLES:
+        table_schema(view)
+
+
+def test_plans_have_no_cross_joins_and_prune_columns(spark):
+    from starloom.plans.registry import QUERIES
+
+    for name in ("agg_daily_sales", "agg_daily_inventory", "vw_sales_extended_full", "vw_return_by_product"):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+    plan = QUERIES["mon_error_summary"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,error)" in plan and "user_id" not in plan.split("ReadSchema")[1]
