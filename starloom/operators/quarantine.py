@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.keys import surrogate_key
-from starloom.schemas import table_schema
+from starloom.schemas import column_names
 from starloom.sources.literals import error_taxonomy
 
-ERROR_COLUMNS = tuple(table_schema("error_records").names)
+ERROR_COLUMNS = tuple(column_names("error_records"))
 
 #: Columns of the failed record kept in the log by default.
 PAYLOAD_COLUMNS = 8

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,6 +94,11 @@ class SchemaMismatch(ValueError):
     """A required column is missing or has another type."""
 
 
+def column_names(name: str) -> list[str]:
+    """Column names without a session."""
+    return re.findall(r"(\w+) [A-Z]+", TABLES[name])
+
+
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[name])
 
