@@ -297,3 +297,13 @@ def test_plans_have_no_cross_joins_and_prune_columns(spark):
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
     plan = QUERIES["mon_error_summary"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,error)" in plan and "user_id" not in plan.split("ReadSchema")[1]
+
+
+def test_year_filter_on_the_calendar_prunes_stored_days(spark, stored):
+    from starloom.plans.reports import sales_of_quarter, sales_of_year
+
+    wh = Warehouse.from_storage(spark, stored[0])
+    for report in (sales_of_year(wh, 2001), sales_of_quarter(wh, 2001, 3)):
+        assert "dynamicpruning" in report._jdf.queryExecution().executedPlan().toString()
+    laid = sinks.laid_out(wh.table("FactSales"), "SalesDateKey", ["ProductKey"])
+    assert "Rebalance" in laid._jdf.queryExecution().optimizedPlan().toString()
