@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.lookups import current, small_side
+from starloom.functions.lookups import current
 from starloom.functions.measures import exact_avg
 from starloom.operators.scd import dedup_latest
 from starloom.schemas import SchemaMismatch

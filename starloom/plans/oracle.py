@@ -409,8 +409,6 @@ def _by_dependency(names: set[str]) -> list[str]:
 # -- queries ----------------------------------------------------------------------
 
 _VALIDITY = f"""{FAR} AS "ValidToDate", 1 AS "IsCurrent" """
-_DATE_PARTS = """d.day AS "DateKey", CAST(year(d.day) AS INTEGER) AS "Year", CAST(month(d.day) AS INTEGER) AS "Month",
-    monthname(d.day) AS "MonthName" """
 
 
 def _calendar(day: str) -> str:
