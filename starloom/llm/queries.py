@@ -19,7 +19,19 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts}
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.quality_rules import quality_verdicts
+
+    return quality_verdicts(table(spark, folder, "documents")).drop("content", "lang", "source")
+
+
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.secret_scan import find_secrets
+
+    return find_secrets(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op7_quality_rules, op10_secret_scan)}
 
 #: SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {}
