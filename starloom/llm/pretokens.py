@@ -11,6 +11,8 @@ import re
 from functools import lru_cache
 
 MARKER = "▁"
+#: Longest pre-token that caches remember.
+LONGEST_CACHED = 64
 _RUN = re.compile(r" +[^ ]*")
 
 

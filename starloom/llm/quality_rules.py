@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import SPACE_CLASS, content_key, filter_rows, let, staged
@@ -35,7 +35,7 @@ FEATURES = tuple(FLOORS)
 NEUTRAL_WORDS, NEUTRAL_LENGTH = 50, 5.0
 SUBSET, STEPS, DIGITS, MIN_ROWS = 0.75, 3, 3, 200
 #: Share of a normal population that the cut-off rejects.
-TAIL = 1e-6
+TAIL = 1e-4
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -140,8 +140,8 @@ def groups(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = sizes.where(F.col("n") < min_rows)
     languages = small.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    rest = languages.where(F.col("n_lang") < min_rows).agg(F.coalesce(F.sum("n_lang"), F.lit(0)).alias("n_rest"))
-    told = _same(sizes, languages, "lang", how="left").join(rest, how="left")
+    rest = F.sum(F.when(F.col("n_lang") < min_rows, F.col("n_lang"))).over(Window.partitionBy())  # a row per language
+    told = _same(sizes, languages.withColumn("n_rest", rest), "lang", how="left")
     level = (
         F.when(F.col("n") >= min_rows, 0)
         .when(F.col("n_lang") >= min_rows, 1)
@@ -214,7 +214,7 @@ def estimates(rows: DataFrame) -> DataFrame:
 def quality_verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
     """Per row of ``docs``: doc_id, content, lang, source, the counts, base_failed, distance and kept."""
     rows = staged(measured(docs), "quality")
-    grouped = _same(rows, groups(rows, min_rows), "lang", "source", how="left")
+    grouped = _same(rows, staged(groups(rows, min_rows), "mcd"), "lang", "source", how="left")
     judged = _with_distance(grouped, estimates(grouped), how="left")
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
     return judged.select("doc_id", "content", "lang", "source", *COUNTS, "base_failed", F.sqrt("d2").alias("distance"), kept.alias("kept"))

@@ -19,19 +19,43 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.pieces import encode_documents
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return encode_documents(docs, public_tokenizers.path(PIECES), scores="zipf").drop("text")
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.decontamination import contained_items
+
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("content")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.quality_rules import quality_verdicts
 
     return quality_verdicts(table(spark, folder, "documents")).drop("content", "lang", "source")
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.near_duplicates import classes
+
+    return classes(table(spark, folder, "documents")).drop("content")
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.secret_scan import find_secrets
 
     return find_secrets(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op7_quality_rules, op10_secret_scan)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_sentencepiece, op4_decontamination, op7_quality_rules, op8_near_duplicates, op10_secret_scan,
+    )
+}
 
 #: SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {}

@@ -25,10 +25,12 @@ FREQUENT, SAMPLE_DOCUMENTS, CACHED, LONGEST = 65_536, 2_000, 200_000, 64
 
 
 def frequent_lengths(docs: DataFrame, model: str, entries: int = FREQUENT, documents: int = SAMPLE_DOCUMENTS) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens of a bounded sample; a warm start for the lookups, no statistic."""
+    """Token counts of the most frequent pre-tokens of a random sample of about ``documents`` rows; a warm start for the
+    lookups, no statistic.  Words are counted in the tasks first, so the shuffle holds those of the sample at most."""
+    share = min(1.0, documents / max(1, docs.count()))
     words = F.explode(F.split(F.replace("text", F.lit(MARKER), F.lit(" ")), " "))
     top = (
-        texts(docs).limit(documents).select(words.alias("word")).where(F.length("word").between(1, LONGEST))
+        texts(docs).sample(share, seed=1).select(words.alias("word")).where(F.length("word").between(1, LONGEST))
         .groupBy("word").count().orderBy(F.desc("count"), "word").limit(entries)
     )
     found = [r.word for r in top.collect()]
