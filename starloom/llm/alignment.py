@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 
 #: Half widths of the band that are tried before the widest that the threshold asks for.
-BANDS = (8, 32, 128, 512)
+BANDS = (4, 8, 16, 32, 64, 128, 256, 512)
 SIDE_BY_SIDE = 128
 _FAR = 1 << 29
 
@@ -26,8 +24,9 @@ def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _unmatched(a: np.ndarray, b: np.ndarray) -> int:
     """A lower bound of the distance: words of one side that the other lacks."""
-    left, right = Counter(a.tolist()), Counter(b.tolist())
-    return max((left - right).total(), (right - left).total())
+    _, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    surplus = np.bincount(place[: len(a)], minlength=len(a) + len(b)) - np.bincount(place[len(a) :], minlength=len(a) + len(b))
+    return int(max(surplus[surplus > 0].sum(), -surplus[surplus < 0].sum()))
 
 
 def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], half: int) -> np.ndarray:
@@ -36,19 +35,23 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], half: int) -> np.ndarray
     rows = np.array([len(a) for a, _ in pairs])
     columns = np.array([len(b) for _, b in pairs])
     most = int(rows.max(initial=0))
-    left = np.full((len(pairs), most), -1, np.int64)
-    right = np.full((len(pairs), most + width), -2, np.int64)
+    left = np.zeros((len(pairs), most), np.uint32)
+    right = np.zeros((len(pairs), most + width), np.uint32)
     for p, (a, b) in enumerate(pairs):
         left[p, : len(a)] = a
         right[p, half : half + len(b)] = b[: most + width - half]
-    cells = np.broadcast_to(np.where(offsets >= half, offsets - half, _FAR), (len(pairs), width)).astype(np.int64)
+    cells = np.broadcast_to(np.where(offsets >= half, offsets - half, _FAR), (len(pairs), width)).astype(np.int32)
+    offsets = offsets.astype(np.int32)
     found, at = np.full(len(pairs), _FAR), columns - rows + half
     found[rows == 0] = columns[rows == 0]
     for i in range(most):
         same = right[:, i : i + width] == left[:, i : i + 1]
-        best = cells + ~same
+        best = cells + 1
+        best -= same
         np.minimum(best[:, :-1], cells[:, 1:] + 1, out=best[:, :-1])
-        cells = np.minimum.accumulate(best - offsets, axis=1) + offsets
+        best -= offsets
+        cells = np.minimum.accumulate(best, axis=1, out=best)
+        cells += offsets
         ended = np.flatnonzero(rows == i + 1)
         found[ended] = cells[ended, at[ended]]
     return found
@@ -57,18 +60,18 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], half: int) -> np.ndarray
 def distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: list[int]) -> list[int | None]:
     """Edit distance (insert, delete, replace a word) of each pair, or None where it exceeds the pair's limit."""
     result: list[int | None] = [None] * len(pairs)
-    cut, waiting = {}, []
+    cut, least, waiting = {}, {}, []
     for p, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > limits[p]:
             continue
         x, y = trimmed(a, b)
         if not len(x) or not len(y):
             result[p] = len(x) + len(y) if len(x) + len(y) <= limits[p] else None
-        elif _unmatched(x, y) <= limits[p]:
-            cut[p] = (x, y)
+        elif (low := _unmatched(x, y)) <= limits[p]:
+            cut[p], least[p] = (x, y), max(low, abs(len(x) - len(y)))
             waiting.append(p)
     for half in (*BANDS, _FAR):
-        ready = sorted((p for p in waiting if abs(len(cut[p][0]) - len(cut[p][1])) <= half), key=lambda p: len(cut[p][0]))
+        ready = sorted((p for p in waiting if least[p] <= half), key=lambda p: len(cut[p][0]))
         left = set(waiting)
         while ready:
             widest = min(half, max(limits[p] for p in ready[:SIDE_BY_SIDE]))
