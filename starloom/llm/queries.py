@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from starloom.session import scratch_dir
 
 PIECES = "piece_bpe_32k.model"
 
@@ -26,12 +27,26 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path(PIECES), scores="zipf").drop("text")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.warc import read_archive, write_archive
+
+    archive = scratch_dir(spark, "warc")
+    write_archive(table(spark, folder, "pages"), archive)
+    return read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.decontamination import contained_items
 
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("content")
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.html_text import extract
+
+    return extract(table(spark, folder, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.quality_rules import quality_verdicts
 
@@ -53,7 +68,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_sentencepiece, op4_decontamination, op7_quality_rules, op8_near_duplicates, op10_secret_scan,
+        op1_token_counts, op2_sentencepiece, op3_warc, op4_decontamination, op5_html_text, op7_quality_rules, op8_near_duplicates, op10_secret_scan,
     )
 }
 
