@@ -59,6 +59,12 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return classes(table(spark, folder, "documents")).drop("content")
 
 
+def op9_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.quality_model import quality_scores
+
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.secret_scan import find_secrets
 
@@ -68,7 +74,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_sentencepiece, op3_warc, op4_decontamination, op5_html_text, op7_quality_rules, op8_near_duplicates, op10_secret_scan,
+        op1_token_counts, op2_sentencepiece, op3_warc, op4_decontamination, op5_html_text, op7_quality_rules, op8_near_duplicates, op9_quality_model, op10_secret_scan,
     )
 }
 
