@@ -47,6 +47,12 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
 
 
+def op6_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from starloom.llm.repeated_passages import passages
+
+    return passages(table(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from starloom.llm.quality_rules import quality_verdicts
 
@@ -74,7 +80,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_sentencepiece, op3_warc, op4_decontamination, op5_html_text, op7_quality_rules, op8_near_duplicates, op9_quality_model, op10_secret_scan,
+        op1_token_counts, op2_sentencepiece, op3_warc, op4_decontamination, op5_html_text, op6_repeated_passages, op7_quality_rules, op8_near_duplicates, op9_quality_model, op10_secret_scan,
     )
 }
 
