@@ -80,7 +80,7 @@ class Resolved:
         replayed later.
         """
         names = self.extract_columns[:payload_columns] if payload_columns else self.extract_columns
-        message = F.concat_ws("; ", _MISSES) if all_messages else F.element_at(F.col(_MISSES), 1)
+        message = F.concat_ws("; ", _MISSES) if all_messages else F.get(F.col(_MISSES), 0)
         return build_error_records(
             self.rejected,
             source_table=self.spec.name,

@@ -121,7 +121,7 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     )
 
 
-def negative_amounts(df: DataFrame, amount: str, order: Sequence[str], limit: int | None = 10) -> DataFrame:
+def negative_amounts(df: DataFrame, amount: str, order: Sequence[str], limit: int | None = None) -> DataFrame:
     """The first negative amounts under a total order, as a report."""
     rows = df.filter(F.col(amount) < 0)
     return rows.orderBy(*order).limit(limit) if limit else rows

@@ -19,7 +19,7 @@ ERROR_COLUMNS = tuple(column_names("error_records"))
 #: Columns of the failed record kept in the log by default.
 PAYLOAD_COLUMNS = 8
 # The retry policy.
-MAX_RETRIES, RETRY_BATCH, RETRY_WINDOW_DAYS = 3, 100, 1
+MAX_RETRIES = 3
 RESOLVED_COMMENT = "Auto-resolved on retry"
 
 
@@ -81,18 +81,19 @@ def classify_errors(errors: DataFrame) -> DataFrame:
 
 
 def retry_candidates(
-    errors: DataFrame, processing_time: dt.datetime, limit: int | None = RETRY_BATCH, max_retries: int = MAX_RETRIES
+    errors: DataFrame,
+    processing_time: dt.datetime,
+    limit: int | None = None,
+    max_retries: int = MAX_RETRIES,
+    window_days: int | None = None,
 ) -> DataFrame:
-    """Open recoverable errors of the last day, longest-waiting first.
+    """Open recoverable errors under ``max_retries`` attempts; all of them unless the caller asks for less.
 
-    ``limit`` is the size of one retry run; None retries everything that is due.
+    ``window_days`` leaves out errors older than that, ``limit`` takes the longest-waiting ones.
     """
-    due = errors.filter(
-        (F.col("IsResolved") == 0)
-        & (F.col("IsRecoverable") == 1)
-        & (F.col("RetryCount") < max_retries)
-        & (F.col("ErrorDate") >= F.lit(processing_time - dt.timedelta(days=RETRY_WINDOW_DAYS)))
-    )
+    due = errors.filter((F.col("IsResolved") == 0) & (F.col("IsRecoverable") == 1) & (F.col("RetryCount") < max_retries))
+    if window_days is not None:
+        due = due.filter(F.col("ErrorDate") >= F.lit(processing_time - dt.timedelta(days=window_days)))
     if limit is None:
         return due
     return due.orderBy(F.col("LastAttemptDate").asc_nulls_first(), "ErrorID").limit(limit)

@@ -127,7 +127,7 @@ def record_schema(src, spec: FactSpec, as_of: dt.date) -> T.StructType:
 
 def retry_fact(
     spark: SparkSession, spec: FactSpec, schema: T.StructType, root: str, batch_id: str, now: dt.datetime,
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> None:
     """Retry the open misses of one fact against the dimensions as they are now.
 

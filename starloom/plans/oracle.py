@@ -359,8 +359,7 @@ CTES = {
                CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS resolved
         FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type = 'error')""",
     "w_due": """
-        SELECT * FROM w_errors WHERE resolved = 0 AND recoverable = 1 AND retries < 3 AND ts >= TIMESTAMP '2024-01-29'
-        ORDER BY last_try NULLS FIRST, id LIMIT 100""",
+        SELECT * FROM w_errors WHERE resolved = 0 AND recoverable = 1 AND retries < 3""",
     "w_retried": f"""
         SELECT d.*, CASE WHEN user_id % 2 = 0 AND c_custkey IS NOT NULL THEN {key("user_id")} END AS customer_key
         FROM w_due d LEFT JOIN customer ON c_custkey = user_id""",
@@ -1075,7 +1074,7 @@ _SQL = {
                      unnest(v) AS m FROM c)
         SELECT k AS "ColumnName", n AS "TotalRows", m AS "NonNullCount", n - m AS "NullCount" FROM r""",
     "dq_negative_amounts": """
-        SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 ORDER BY c_acctbal, c_custkey LIMIT 10""",
+        SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0""",
     "dq_rowcount_drift": f"""
         WITH c AS (SELECT day, count(*) AS n FROM w_sold GROUP BY 1),
         p AS (SELECT a.day, a.n, b.n AS m, CAST(a.n - b.n AS DOUBLE) / b.n AS x

@@ -545,7 +545,7 @@ def error_classify(spark, folder):
 
 
 def retry_run(spark, folder):
-    """Retry the open errors of the last day; customers with an even key have arrived by now."""
+    """Retry all open errors; customers with an even key have arrived by now."""
     when = dt.datetime(2024, 1, 30)
     due = quarantine.retry_candidates(_errors(spark, folder), when)
     spec = fact_builders.FactSpec(

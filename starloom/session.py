@@ -35,9 +35,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; only where
-    that is unset (local tests) a machine-local temporary folder is used.
+    that is unset and the master is local a temporary folder of the machine is used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"starloom-{purpose}-")
