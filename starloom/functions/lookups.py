@@ -58,22 +58,17 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
-#: Rows without a key are dealt over this many sub-keys where a join shuffles.
-NULL_SLOTS = 256
-
-
 def nullable_left_join(df: DataFrame, side: DataFrame, key: str, row_key: Sequence[str]) -> DataFrame:
     """Left join on a ``key`` that may be NULL in a large share of the rows.
 
     NULL matches nothing, so those rows must not meet in one shuffle partition:
-    they get a sub-key from ``row_key``, all others sub-key 0.  Joins on the
-    same key one after the other share one shuffle.
+    they get the hash of ``row_key`` as sub-key, all others sub-key 0.  Joins on
+    the same key one after the other share one shuffle.
     """
     slot = f"_slot_{key}"
     if slot not in df.columns:
-        dealt = F.pmod(F.xxhash64(*row_key), F.lit(NULL_SLOTS)).cast("int")
-        df = df.withColumn(slot, F.when(F.col(key).isNull(), dealt).otherwise(F.lit(0)))
-    side = side.withColumn(slot, F.lit(0))
+        df = df.withColumn(slot, F.when(F.col(key).isNull(), F.xxhash64(*row_key)).otherwise(F.lit(0).cast("bigint")))
+    side = side.withColumn(slot, F.lit(0).cast("bigint"))
     return df.join(side, [key, slot], "left")
 
 

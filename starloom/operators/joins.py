@@ -26,12 +26,21 @@ def range_join(
 
     The ranges are listed under every bin of ``width`` they touch, so the join
     is an equi-join on the bin with the exact bounds as residual condition.
-    Choose ``width`` near the typical range length.
+    Choose ``width`` near the typical range length.  Bounds may be far out or
+    NULL (open): only bins between the least and the largest value are listed,
+    which costs one more pass over the value column.
     """
-    bins = F.sequence(F.floor(F.col(low) / width).cast("bigint"), F.floor(F.col(high) / width).cast("bigint"))
-    listed = ranges.select(F.col(low).alias("_low"), F.col(high).alias("_high"), *columns, F.explode(bins).alias("_bin"))
-    on = (F.floor(F.col(value) / width).cast("bigint") == F.col("_bin")) & F.col(value).between(
-        F.col("_low"), F.col("_high")
+    ends = [left.agg(end(value).cast("double")).scalar() for end in (F.min, F.max)]
+    clipped = ranges.select(
+        F.col(low).alias("_low"), F.col(high).alias("_high"), *columns,
+        F.greatest(F.col(low), ends[0]).alias("_first"), F.least(F.col(high), ends[1]).alias("_last"),
+    ).filter("_first <= _last")
+    bins = F.sequence(F.floor(F.col("_first") / width).cast("bigint"), F.floor(F.col("_last") / width).cast("bigint"))
+    listed = clipped.withColumn("_bin", F.explode(bins)).drop("_first", "_last")
+    on = (
+        (F.floor(F.col(value) / width).cast("bigint") == F.col("_bin"))
+        & (F.col("_low").isNull() | (F.col(value) >= F.col("_low")))
+        & (F.col("_high").isNull() | (F.col(value) <= F.col("_high")))
     )
     return left.join(listed, on, how).drop("_low", "_high", "_bin")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starloom.functions.dates import FAR_FUTURE
+from starloom.functions.keys import surrogate_key as hashed_key
 from starloom.functions.lookups import current, small_side
 
 VERSION_COLUMNS = ("ValidFromDate", "ValidToDate", "IsCurrent", "Version")
@@ -57,7 +58,7 @@ def scd2_changes(
     """Compare the source with the current versions.
 
     One row per member with its ``action``, the source row ``s``, the current
-    row ``d`` and ``last_version`` of members that have no current one.  A
+    row ``d``, and ``last_version`` and ``last_end`` of its closed versions.  A
     change counts only when the source's ValidFromDate is later than the
     current one; values are compared null-safe and by type.
     """
@@ -67,7 +68,7 @@ def scd2_changes(
     past = (
         dim.filter("IsCurrent = 0")
         .groupBy(F.col(natural_key).alias("_p_nk"))
-        .agg(F.max("Version").alias("last_version"))
+        .agg(F.max("Version").alias("last_version"), F.max("ValidToDate").alias("last_end"))
     )
     joined = source.join(live, F.col("_sk_nk") == F.col("_d_nk"), "full_outer").join(
         past, F.col("_sk_nk") == F.col("_p_nk"), "left"
@@ -83,7 +84,7 @@ def scd2_changes(
         .otherwise(SAME)
     )
     return joined.select(
-        F.coalesce("_sk_nk", "_d_nk").alias(natural_key), action.alias("action"), "s", "d", "last_version"
+        F.coalesce("_sk_nk", "_d_nk").alias(natural_key), action.alias("action"), "s", "d", "last_version", "last_end"
     )
 
 
@@ -114,6 +115,8 @@ def scd2_merge(
     come back), changed ones get a new version and close the old one, members
     gone from the source are closed at ``as_of``, the rest stays untouched.
     By default a version ends where the next one starts (half-open intervals).
+    A member that comes back opens no earlier than its last version ended; where
+    that moves its start, its surrogate key follows from the new start.
 
     Every joined member emits its one or two rows through ``inline``, so the
     comparison runs once; the closed history is only appended to.
@@ -135,8 +138,14 @@ def scd2_merge(
         }.get(c, F.col(f"d.{c}"))
     )
     version = F.coalesce(F.col("d.Version"), F.col("last_version"), F.lit(0)) + 1
+    returns_late = F.col("d").isNull() & (F.col("s.ValidFromDate") < F.col("last_end"))
+    start = F.when(returns_late, F.col("last_end")).otherwise(F.col("s.ValidFromDate"))
     opened = row(
         lambda c: {
+            surrogate_key: F.when(returns_late, hashed_key(F.col(f"s.{natural_key}"), F.col("last_end"))).otherwise(
+                F.col(f"s.{surrogate_key}")
+            ),
+            "ValidFromDate": start,
             "ValidToDate": F.lit(FAR_FUTURE),
             "IsCurrent": F.lit(1),
             "Version": version,

@@ -8,7 +8,9 @@ gives the same table instead of a second copy of its rows.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +47,10 @@ def update_rows(
 
 
 def upsert_rows(table: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Delete the keys of ``rows`` from ``table``, then add ``rows``."""
-    return delete_rows(table, rows, on).unionByName(rows)
+    """Delete the keys of ``rows`` from ``table``, then add ``rows``.  A NULL in a key equals a NULL."""
+    keys = rows.select(*[F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)]).distinct()
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate(on)])
+    return table.join(keys, same, "left_anti").unionByName(rows)
 
 
 def newer_than(df: DataFrame, day: str, watermark: dt.date | None) -> DataFrame:
@@ -173,9 +177,12 @@ def current_version(spark: SparkSession, path: str) -> str | None:
         return None
     stream = fs.open(file)
     try:
-        return bytes(stream.readAllBytes()).decode()
+        version = bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+    if not version:
+        raise ValueError(f"{path}/_CURRENT names no version")
+    return version
 
 
 def publish(df: DataFrame, path: str, version: str, partition: str | None = None, sort: Sequence[str] = ()) -> None:
@@ -186,11 +193,18 @@ def publish(df: DataFrame, path: str, version: str, partition: str | None = None
     spark = df.sparkSession
     overwrite(df, f"{path}/{version}", partition, sort)
     file, fs = _pointer(spark, path)
-    stream = fs.create(file, True)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    aside = hadoop.Path(f"{path}/_NEXT-{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
     try:
         stream.write(bytearray(version.encode()))
     finally:
         stream.close()
+    # the rename replaces the pointer in one step; a reader sees the old version or the new one
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, file, how)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -210,8 +224,9 @@ def apply_retention(
 ) -> None:
     """Drop (or first archive) the rows past their retention and publish the rest."""
     table = read_table(spark, path)
-    if archive:
-        append(past_retention(table, day, as_of, **age), archive, partition)
+    if archive:  # a repeated run replaces what it archived, and leaves it where nothing is past any more
+        gone = past_retention(table, day, as_of, **age).withColumn("archived_by", F.lit(version))
+        overwrite_partitions(gone, archive, "archived_by")
     publish(within_retention(table, day, as_of, **age), path, version, partition)
 
 

@@ -486,7 +486,7 @@ def lateral_latest_store(spark, folder):
 def range_join_aging(spark, folder):
     """Stock by aging tier through the general range join."""
     stock = _extract("FactInventory")(spark, folder)
-    tiers = literal_table(spark, "DimAgingTier").withColumn("MaxAgingDays", F.least("MaxAgingDays", F.lit(9999)))
+    tiers = literal_table(spark, "DimAgingTier")
     joined = joins.range_join(stock, tiers, "StockAging", "MinAgingDays", "MaxAgingDays", 100, ["AgingTierName"])
     return joined.groupBy("AgingTierName").agg(
         F.count(F.lit(1)).alias("StockRows"), F.sum("QuantityOnHand").alias("Quantity")

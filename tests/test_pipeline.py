@@ -307,3 +307,32 @@ def test_year_filter_on_the_calendar_prunes_stored_days(spark, stored):
         assert "dynamicpruning" in report._jdf.queryExecution().executedPlan().toString()
     laid = sinks.laid_out(wh.table("FactSales"), "SalesDateKey", ["ProductKey"])
     assert "Rebalance" in laid._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_upsert_matches_null_keys(spark):
+    table = spark.createDataFrame([(1, None, 5), (1, "a", 6), (None, None, 7)], "k int, l string, v int")
+    rows = spark.createDataFrame([(1, None, 50), (None, None, 70)], "k int, l string, v int")
+    once = sinks.upsert_rows(table, rows, ["k", "l"])
+    assert sorted(r.v for r in sinks.upsert_rows(once, rows, ["k", "l"]).collect()) == [6, 50, 70]
+
+
+def test_pointer_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for version in ("v1", "v2"):
+        sinks.publish(spark.createDataFrame([(version,)], "v string"), path, version)
+    assert sinks.current_version(spark, path) == "v2" and not list((tmp_path / "t").glob("_NEXT-*"))
+    (tmp_path / "t" / "._CURRENT.crc").unlink(missing_ok=True)
+    (tmp_path / "t" / "_CURRENT").write_text("")
+    with pytest.raises(ValueError):
+        sinks.read_table(spark, path)
+
+
+def test_repeated_archive_keeps_each_row_once(spark, tmp_path):
+    path, archive = str(tmp_path / "t"), str(tmp_path / "old")
+    rows = spark.createDataFrame([(D(2020, 1, 1), 1), (D(2025, 11, 1), 2)], "day date, v int")
+    sinks.publish(rows, path, "v1")
+    for _ in range(2):  # the second run starts from the table as it was
+        sinks.publish(rows, path, "v1")
+        sinks.apply_retention(spark, path, "day", D(2025, 11, 11), "v2", archive, months=24)
+    sinks.apply_retention(spark, path, "day", D(2025, 11, 11), "v2b", archive, months=24)
+    assert [r.v for r in spark.read.parquet(archive).collect()] == [1]

@@ -159,3 +159,14 @@ def test_as_of_join_accepts_null_and_sentinel(spark):
 def test_is_versioned():
     assert scd.is_versioned(["A", "ValidFromDate", "ValidToDate", "IsCurrent", "Version"])
     assert not scd.is_versioned(["A", "IsCurrent"])
+
+
+def test_member_comes_back_with_its_old_date(spark):
+    start = image(spark, (1, 1, "a", D(2020, 1, 1)))
+    gone = merge(image(spark), start, D(2021, 1, 1))
+    back = merge(start, gone, D(2021, 6, 1))
+    old, new = by_version(back)
+    assert old == (1, 1, "a", D(2020, 1, 1), D(2021, 1, 1), 0, 1)
+    assert new[0] != 1 and new[1:] == (1, "a", D(2021, 1, 1), FAR_FUTURE, 1, 2)
+    assert scd.as_of_members(back, D(2020, 6, 1)).count() == scd.as_of_members(back, D(2021, 7, 1)).count() == 1
+    assert by_version(merge(start, back, D(2021, 7, 1))) == [old, new]
