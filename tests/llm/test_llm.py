@@ -192,6 +192,23 @@ def test_near_duplicates_lose_no_similar_pair(docs, texts):
                 assert named[a] == named[b]
 
 
+def test_one_row_of_each_class_with_null_and_repeated_ids(spark):
+    from starloom.llm.near_duplicates import keep_one
+
+    draw = random.Random(9)
+    prose = lambda: " ".join(f"w{draw.randint(0, 10**9)}" for _ in range(60))
+    a, b, c, d, e = (prose() for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, b + " more"), (5, c), (5, d), (5, d), (None, e), (8, e + " more"), (9, e), (None, None), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text or "") for r in keep_one(table).collect()), key=str)
+    assert len(got) == 6 and {(None, a), (5, c), (5, d), (8, e + " more"), (None, "")} < set(got)
+    assert len({b, b + " more"} & {t for _, t in got}) == 1
+    keys = collections.defaultdict(set)
+    for r in classes(table).collect():
+        keys[r.class_key].add(r.class_id)
+    assert sorted((list(v) for v in keys.values()), key=str) == [[5], [5], [8], [None], [None], [None]]
+
+
 def test_chains_go_forward():
     assert chains([1, 5, 9, 9, 13], [101, 105, 3, 109, 113]) == [(1, 13, 101, 113), (9, 9, 3, 3)]
 
