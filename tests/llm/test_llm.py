@@ -228,6 +228,31 @@ def test_repeated_passages(spark):
     assert any(b <= 101 and e >= 179 for b, e, _, _ in found[1]) and found[4] == [(0, 300, 6, True)]
 
 
+def test_passages_apart_and_edited_at_their_ends(spark):
+    draw = random.Random(11)
+    words = lambda n: [f"w{draw.randint(0, 10**9)}" for _ in range(n)]
+    one, two, rows, want = words(60), words(60), [], {}
+    for i, gap in enumerate((40, 70, 100, 200, 300)):
+        one, two = words(60), words(60)
+        for d in (2 * i, 2 * i + 1):
+            rows.append((d, words(20 + 30 * (d % 2)) + one + words(gap) + two + words(25)))
+            first = 20 + 30 * (d % 2)
+            want[d] = [(first, first + 60), (first + 60 + gap, first + 120 + gap)]
+    core = words(60)
+    edited = [w if i not in (3, 9, 50, 56) else f"x{i}" for i, w in enumerate(core)]
+    rows += [(20, words(70) + core + words(70)), (21, words(40) + edited + words(90))]
+    want |= {20: [(70, 130)], 21: [(40, 100)]}
+    phrase, passage = words(12), words(60)
+    rows += [(d, words(30) + phrase + words(45) + passage + words(30)) for d in (30, 31)]
+    want |= {30: [(87, 147)], 31: [(87, 147)]}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = collections.defaultdict(list)
+    for r in passages(table).collect():
+        assert r.similarity >= 0.8 and min(r.end - r.begin, r.other_end - r.other_begin) >= 50
+        found[r.doc_id].append((r.begin, r.end))
+    assert {d: sorted(spans) for d, spans in found.items()} == want
+
+
 def test_quality_rules_counts_and_verdicts(docs, texts):
     rows = quality_verdicts(docs, min_rows=20).collect()
     for r in rows:
