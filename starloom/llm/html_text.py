@@ -46,14 +46,17 @@ BLOCK = frozenset(
 #: Elements that are never the main text, and words in class or id that say so.  Fixed values.
 NOT_TEXT = frozenset("nav footer aside form menu button dialog head search fieldset".split())
 NOT_TEXT_WORDS = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|respond|cookies?|consent|disclaimer|disqus|footer|gdpr|header|"
-    r"masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|outbrain|overlay|pagination|popup|promo\w*|related|replies|reply|"
+    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|comments?|commentlist|respond|cookies?|consent|disclaimer|disqus|footer|gdpr|"
+    r"menu|modal|nav|navbar|navigation|newsletter|notice|notification|outbrain|overlay|pagination|popup|promo\w*|related|replies|reply|"
     r"share|sharing|sidebar|side|social|sponsor\w*|subscribe|subscription|taboola|toolbar|widget|alert|login|signup|search)(?:$|[\s_-])"
 )
+#: The same outside of article and main; there they name the headline.
+HEADER_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:banner|header|masthead)(?:$|[\s_-])")
 #: An open element of the first kind is ended by the start of one of the second.  Fixed values.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+#: Consumes a value with its name, so nothing in a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -116,7 +119,9 @@ def parse(source: str) -> Node:
             if tag in BLOCK:
                 open_text = None
             continue
-        named = {k.lower(): a or b or c for k, a, b, c in _NAMED.findall(found[3])} if found[3] else {}
+        named: dict[str, str] = {}
+        for name, a, b, c in _ATTRIBUTE.findall(found[3]):
+            named.setdefault(name.lower(), a or b or c)
         block = tag in BLOCK
         if block:
             open_text = None
@@ -129,7 +134,8 @@ def parse(source: str) -> Node:
                     break
         names = " ".join(named.get(k, "") for k in ("class", "id")).strip()
         inside = any(n.tag in ("article", "main") for n, _ in stack)
-        skip = tag in NOT_TEXT or "hidden" in named or bool(names and NOT_TEXT_WORDS.search(names)) or (tag == "header" and not inside)
+        skip = tag in NOT_TEXT or "hidden" in named or bool(names and NOT_TEXT_WORDS.search(names))
+        skip = skip or (not inside and (tag == "header" or bool(HEADER_WORDS.search(names))))
         skip = skip or named.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert")
         node = Node(tag, names, skip and tag not in ("html", "body", "article", "main"))
         if block or node.skip:

@@ -151,6 +151,15 @@ def test_main_text():
     assert main_text("") == "" and main_text("plain  text") == "plain text"
 
 
+def test_main_text_reads_attributes_by_name():
+    for attribute in ('style="overflow:hidden"', "aria-hidden='true'", 'title="the hidden gem"', 'data-id="sidebar"', "data-role=navigation", 'alt="a class=menu b"', "data-x=hidden"):
+        assert main_text(f"<body><div {attribute}><p>article</p></div><p>more</p></body>") == "article more"
+    for attribute in ("hidden", 'hidden=""', "x=1 HIDDEN", 'id="sidebar"', "class = 'a menu'", "role=navigation", 'class="page-header"'):
+        assert main_text(f"<body><div {attribute}><p>aside</p></div><p>more</p></body>") == "more"
+    page = '<body><div class="site-header">site</div><article><div class="entry-header"><h1>head</h1></div><p>text</p><div class="comments">me too</div></article></body>'
+    assert main_text(page) == "head text"
+
+
 def test_wrapper_finds_constant_slots(spark):
     from starloom.llm.html_text import extract
 
