@@ -10,7 +10,7 @@ exact percentiles of values rounded to ``DIGITS`` decimals, which bounds what an
 ``FLOORS`` on the diagonal (in transformed units) keeps statistics that are mostly zero from rejecting every row that
 is not zero, and keeps the covariance regular.
 
-A group of fewer than ``MIN_ROWS`` rows is pooled with the other small ones of its language, and those pools that are
+A group of fewer than ``MIN_ROWS`` rows, five for each statistic, is pooled with the other small ones of its language, and those pools that are
 still small with each other; where even that is small there is no estimate and the base rules decide alone.
 
 Defined cases: a null text has no words and fails the base rules; null language or source is a value like any other;
@@ -33,7 +33,7 @@ FLOORS = {"x_length": 0.06, "x_symbols": 0.10, "x_lines": 0.10, "x_repeats": 0.1
 FEATURES = tuple(FLOORS)
 #: Words of a neutral text added to every text, so that ratios of short texts scatter no more than those of long ones.
 NEUTRAL_WORDS, NEUTRAL_LENGTH = 50, 5.0
-SUBSET, STEPS, DIGITS, MIN_ROWS = 0.75, 3, 3, 200
+SUBSET, STEPS, DIGITS, MIN_ROWS = 0.75, 3, 3, 20
 #: Share of a normal population that the cut-off rejects.
 TAIL = 1e-4
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

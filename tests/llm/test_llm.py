@@ -275,6 +275,16 @@ def test_quality_rules_counts_and_verdicts(docs, texts):
         assert not (r.base_failed and r.kept)
 
 
+def test_quality_verdicts_on_small_sources(spark):
+    draw = random.Random(12)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(3, 7))) for _ in range(n))
+    marked = lambda: " ".join(w + " ##" for w in prose(100).split())
+    rows = [(i, prose(200), "en", "plain") for i in range(60)] + [(100, marked(), "en", "plain")]
+    rows += [(200 + i, marked(), "en", "marked") for i in range(30)]
+    kept = {r.doc_id: r.kept for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not kept.pop(100) and all(kept.values())
+
+
 def test_quality_estimate_equals_numpy(spark):
     from starloom.llm import quality_rules as q
 
