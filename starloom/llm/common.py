@@ -58,3 +58,9 @@ def filter_rows(docs: DataFrame, marked: DataFrame, keep: bool, column: str = "t
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 500, size: str = "16m") -> None:
+    """Bound the rows and the bytes of an Arrow batch; a single text of more bytes still makes a batch of its own."""
+    arrow_batches(spark, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
