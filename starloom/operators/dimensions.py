@@ -447,6 +447,8 @@ class DimSpec:
     scd2: bool = True
     #: columns of ``driver`` that make up the surrogate key, natural key first
     key_parts: tuple[str, ...] = field(default=())
+    #: what really identifies a member where ``natural_key`` is a position; the batch keeps positions in a registry
+    registry: tuple[str, ...] = field(default=())
 
     def key_map(self, src: Sources, keys: KeyPolicy = WIDE_KEYS) -> DataFrame:
         """(natural key, surrogate key) of the members, without their attributes."""
@@ -475,7 +477,9 @@ DIMENSIONS = {
         DimSpec("DimSalesTerritory", "TerritoryKey", "TerritoryID", build_dim_sales_territory, "Sales.SalesTerritory",
                 False, ("TerritoryID", "Name", "Group", "CountryRegionCode")),
         DimSpec("DimVendor", "VendorKey", "VendorID", build_dim_vendor, "Purchasing.Vendor", True, _ENTITY),
-        DimSpec("DimRegion", "RegionKey", "RegionID", build_dim_region, "Sales.SalesTerritory", False),
+        DimSpec(
+            "DimRegion", "RegionKey", "RegionID", build_dim_region, "Sales.SalesTerritory", False, registry=("RegionName", "Country")
+        ),
     )
 }
 

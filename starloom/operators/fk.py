@@ -25,6 +25,7 @@ def key_map(dimension: DataFrame, fk: FKSpec, surrogate: str) -> DataFrame:
 
 
 def _miss_message(fk: FKSpec) -> Column:
+    # The two texts of a miss.
     suffix = " (IsCurrent=1)" if fk.scd2 else ""
     return F.when(
         F.col(fk.extract).isNull(), F.lit(f"{fk.extract} is NULL (required for {fk.insert})")

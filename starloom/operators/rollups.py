@@ -200,18 +200,44 @@ def growth_rate(value: Column, previous: Column) -> Column:
     return F.round(F.coalesce(change, F.lit(0.0)), 4).cast("decimal(10,4)")
 
 
+_AREA = ("RegionKey", "SalesTerritoryKey")
+
+
+def _regional_revenue(wh) -> DataFrame:
+    return (
+        with_region(wh.table("FactSales"), wh, territory=True)
+        .groupBy(truncate("month", "SalesDateKey").alias("MonthStartDateKey"), *_AREA)
+        .agg(_revenue())
+    )
+
+
+def _with_growth(rows: DataFrame) -> DataFrame:
+    previous = F.lag("RevenueSum").over(Window.partitionBy(*_AREA).orderBy("MonthStartDateKey"))
+    return rows.select("*", growth_rate(F.col("RevenueSum"), previous).alias("GrowthRatePct"))
+
+
 def regional_sales(wh) -> DataFrame:
     """Monthly revenue with growth over the previous month that has any.
 
     The window runs over the roll-up, so a partition holds one row per month.
     """
-    rows = (
-        with_region(wh.table("FactSales"), wh, territory=True)
-        .groupBy(truncate("month", "SalesDateKey").alias("MonthStartDateKey"), "RegionKey", "SalesTerritoryKey")
-        .agg(_revenue())
+    return _with_growth(_regional_revenue(wh))
+
+
+def regional_sales_refresh(wh, stored: DataFrame, first: dt.date, touched: Column) -> DataFrame:
+    """The roll-up from month ``first`` on, after the months that ``touched`` marks have changed.
+
+    ``wh`` needs the facts of the touched months only.  Of the months before, the last one with revenue per area is
+    carried over from the stored roll-up, and the untouched ones after ``first`` are read from it.
+    """
+    names, month = ["MonthStartDateKey", *_AREA, "RevenueSum"], F.col("MonthStartDateKey")
+    before = stored.filter(month < F.lit(first)).groupBy(*_AREA)
+    boundary = before.agg(
+        F.max("MonthStartDateKey").alias("MonthStartDateKey"), F.max_by("RevenueSum", "MonthStartDateKey").alias("RevenueSum")
     )
-    previous = F.lag("RevenueSum").over(Window.partitionBy("RegionKey", "SalesTerritoryKey").orderBy("MonthStartDateKey"))
-    return rows.select("*", growth_rate(F.col("RevenueSum"), previous).alias("GrowthRatePct"))
+    after = stored.filter((month >= F.lit(first)) & ~touched)
+    rows = boundary.select(*names).unionByName(after.select(*names)).unionByName(_regional_revenue(wh).select(*names))
+    return _with_growth(rows).filter(month >= F.lit(first))
 
 
 def hourly_sales(facts: DataFrame, time: str = "SalesDateKey") -> DataFrame:
@@ -258,6 +284,17 @@ ROLLUPS = {
 }
 
 
+#: The facts each roll-up is made of; others depend on all.
+ROLLUP_FACTS = {
+    "agg_daily_sales": ("FactSales",),
+    "agg_weekly_sales": ("FactSales",),
+    "agg_monthly_sales": ("FactSales",),
+    "agg_daily_inventory": ("FactInventory",),
+    "agg_monthly_product_performance": ("FactSales", "FactReturns"),
+    "agg_regional_sales": ("FactSales",),
+}
+
+
 def register_rollup(name: str, build, period_column: str) -> None:
     """Add a roll-up of your own to the batch run."""
     ROLLUPS[name] = (build, period_column)

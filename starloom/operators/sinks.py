@@ -7,14 +7,17 @@ gives the same table instead of a second copy of its rows.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
-import uuid
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starloom.operators import files
 from starloom.operators.quality import assert_schema
 
 #: Above this many rows a task starts another file.
@@ -72,10 +75,18 @@ def past_retention(
     return df.filter(F.col(day) < _cutoff(as_of, months, days))
 
 
-def _cutoff(as_of: dt.date, months: int | None, days: int | None) -> Column:
+def _cutoff_day(as_of: dt.date, months: int | None, days: int | None) -> dt.date:
     if (months is None) == (days is None):
         raise ValueError("give either months or days")
-    return F.add_months(F.lit(as_of), -months) if months is not None else F.date_sub(F.lit(as_of), days)
+    if days is not None:
+        return as_of - dt.timedelta(days=days)
+    year, month = divmod(as_of.year * 12 + as_of.month - 1 - months, 12)
+    last = calendar.monthrange(year, month + 1)[1]
+    return dt.date(year, month + 1, min(as_of.day, last))
+
+
+def _cutoff(as_of: dt.date, months: int | None, days: int | None) -> Column:
+    return F.lit(_cutoff_day(as_of, months, days))
 
 
 # -- files ------------------------------------------------------------------------
@@ -164,23 +175,10 @@ def rewrite_errors(errors: DataFrame, path: str) -> None:
 # -- versioned tables: a new version beside the old one, then one small pointer ----
 
 
-def _pointer(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    file = jvm.org.apache.hadoop.fs.Path(f"{path}/_CURRENT")
-    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Folder name of the live version of a versioned table; None when there is none."""
-    file, fs = _pointer(spark, path)
-    if not fs.exists(file):
-        return None
-    stream = fs.open(file)
-    try:
-        version = bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-    if not version:
+    version = files.read_text(spark, f"{path}/_CURRENT")
+    if version == "":
         raise ValueError(f"{path}/_CURRENT names no version")
     return version
 
@@ -192,37 +190,148 @@ def publish(df: DataFrame, path: str, version: str, partition: str | None = None
     """
     spark = df.sparkSession
     overwrite(df, f"{path}/{version}", partition, sort)
-    file, fs = _pointer(spark, path)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    aside = hadoop.Path(f"{path}/_NEXT-{uuid.uuid4().hex}")
-    stream = fs.create(aside, True)
-    try:
-        stream.write(bytearray(version.encode()))
-    finally:
-        stream.close()
-    # the rename replaces the pointer in one step; a reader sees the old version or the new one
-    rename = getattr(hadoop, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, file, how)
+    files.write_text(spark, f"{path}/_CURRENT", version)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The live version of a versioned table, or a plain table."""
+    """The live version of a versioned table, or a plain table without the days that its retention has dropped."""
     version = current_version(spark, path)
-    return spark.read.parquet(f"{path}/{version}" if version else path)
+    if version:
+        return spark.read.parquet(f"{path}/{version}")
+    table, cutoff = spark.read.parquet(path), retention_cutoff(spark, path)
+    return table if cutoff is None else table.filter(F.col(cutoff[0]) >= F.lit(cutoff[1]))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return files.exists(spark, path)
+
+
+# -- tables of partition folders: changed folder by folder, in place ---------------
+
+
+def write_staged(df: DataFrame, path: str, partition: str, sort: Sequence[str] = ()) -> DataFrame:
+    """Fix rows on disk beside the table, in the table's layout, before they become part of it."""
+    overwrite(df, path, partition, sort)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a replacement of folders that was interrupted."""
+    text = files.read_text(spark, f"{path}/_REPLACING")
+    if text:
+        _finish_replacement(spark, path, json.loads(text))
+
+
+def _finish_replacement(spark: SparkSession, path: str, plan: dict) -> None:
+    partition, staged = plan["partition"], plan["staged"]
+    present = files.partitions(spark, path, partition)
+    for day, folder in files.partitions(spark, staged, partition).items():  # those moved before are gone from here
+        if day in present:
+            files.delete(spark, f"{path}/{present[day]}")
+        files.move(spark, f"{staged}/{folder}", f"{path}/{folder}")
+    for day, folder in present.items():
+        if day not in plan["days"] and any(first <= day <= last for first, last in plan["ranges"]):
+            files.delete(spark, f"{path}/{folder}")
+    files.write_text(spark, f"{staged}/_MOVED", json.dumps(plan["changed"]))
+    files.delete(spark, f"{path}/_REPLACING")
+
+
+def replace_staged(
+    spark: SparkSession, staging: str, path: str, partition: str, ranges: Sequence[tuple[dt.date, dt.date]]
+) -> list[dt.date]:
+    """Make the staged rows the whole content of the table within ``ranges`` of days (both ends included).
+
+    Whole folders are moved, no data are read or written again.  Days of the ranges that have no staged rows lose their
+    folder, days outside are not touched, rows outside are an error.  The plan is fixed in a marker first: a run that
+    dies between two folders is finished by the next one, or by :func:`recover`; doing it twice changes nothing.
+    Returns the days that were written or removed.
+    """
+    recover(spark, path)
+    moved = files.read_text(spark, f"{staging}/_MOVED")
+    if moved is not None:
+        return list(map(dt.date.fromisoformat, json.loads(moved)))
+    days = sorted(files.partitions(spark, staging, partition))
+    within = [(first.isoformat(), last.isoformat()) for first, last in ranges]
+    outside = [day for day in days if not any(first <= day <= last for first, last in within)]
+    if outside:
+        raise ValueError(f"rows of {outside[0]} are outside of the range to replace")
+    before = [day for day in files.partitions(spark, path, partition) if any(first <= day <= last for first, last in within)]
+    plan = {"staged": staging, "partition": partition, "ranges": within, "days": days, "changed": sorted({*days, *before})}
+    files.write_text(spark, f"{path}/_REPLACING", json.dumps(plan))
+    _finish_replacement(spark, path, plan)
+    return list(map(dt.date.fromisoformat, plan["changed"]))
+
+
+def replace_ranges(
+    df: DataFrame, path: str, partition: str, ranges: Sequence[tuple[dt.date, dt.date]], staging: str, sort: Sequence[str] = ()
+) -> list[dt.date]:
+    """:func:`replace_staged` for rows that are not on disk yet; they may be read from the table itself."""
+    write_staged(df, staging, partition, sort)
+    return replace_staged(df.sparkSession, staging, path, partition, ranges)
+
+
+def retention_cutoff(spark: SparkSession, path: str) -> tuple[str, dt.date] | None:
+    """Partition column and first day that readers still see; None without retention."""
+    text = files.read_text(spark, f"{path}/_RETENTION")
+    if not text:
+        return None
+    column, day = text.split()
+    return column, dt.date.fromisoformat(day)
+
+
+def drop_expired(
+    spark: SparkSession, path: str, partition: str, as_of: dt.date, archive: str | None = None, *,
+    months: int | None = None, days: int | None = None,
+) -> list[str]:
+    """Drop the day folders past their retention, or move them to ``archive``, through the file system.
+
+    No data are read or written.  The first day to keep is recorded before anything is dropped and never goes back, so
+    readers lose the expired days in one step and a run that dies is finished by the next one.  Loads go on writing into
+    the same table.
+    """
+    recover(spark, path)
+    first = _cutoff_day(as_of, months, days)
+    known = retention_cutoff(spark, path)
+    first = max(first, known[1]) if known else first
+    files.write_text(spark, f"{path}/_RETENTION", f"{partition} {first.isoformat()}")
+    gone = {day: folder for day, folder in files.partitions(spark, path, partition).items() if day < first.isoformat()}
+    for folder in gone.values():
+        if archive:
+            files.move_into(spark, f"{path}/{folder}", f"{archive}/{folder}")
+        else:
+            files.delete(spark, f"{path}/{folder}")
+    return sorted(gone)
+
+
+def drop_duplicates_in_place(spark: SparkSession, path: str, partition: str, staging: str, sort: Sequence[str] = ()) -> list[str]:
+    """Remove repeated rows, rewriting only the day folders that hold any.
+
+    Fingerprints of 64 bits are counted first; a folder whose fingerprints repeat is read again and reduced on whole
+    rows, so two different rows of one fingerprint cost a rewrite and no row.
+    """
+    recover(spark, path)
+    table = read_table(spark, path)
+    prints = table.select(F.col(partition).cast("string").alias("day"), F.xxhash64(*table.columns).alias("print"))
+    repeated = prints.groupBy("day", "print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("day").distinct()
+    days = sorted(r.day for r in repeated.collect())  # folders of the table at most
+    if days:
+        ranges = [(dt.date.fromisoformat(day),) * 2 for day in days]
+        wanted = table.filter(F.col(partition).isin([first for first, _ in ranges]))
+        replace_ranges(wanted.dropDuplicates(), path, partition, ranges, staging, sort)
+    return days
+
+
+# -- maintenance of either form ------------------------------------------------------
 
 
 def apply_retention(
     spark: SparkSession, path: str, day: str, as_of: dt.date, version: str, archive: str | None = None,
     partition: str | None = None, **age,
 ) -> None:
-    """Drop (or first archive) the rows past their retention and publish the rest."""
+    """Drop (or first archive) the rows past their retention: folders of a partitioned table, rows of a versioned one."""
+    if current_version(spark, path) is None and files.partitions(spark, path, day):
+        drop_expired(spark, path, day, as_of, archive, **age)
+        return
     table = read_table(spark, path)
     if archive:  # a repeated run replaces what it archived, and leaves it where nothing is past any more
         gone = past_retention(table, day, as_of, **age).withColumn("archived_by", F.lit(version))
@@ -231,7 +340,10 @@ def apply_retention(
 
 
 def rebuild_distinct(spark: SparkSession, path: str, version: str, partition: str | None = None) -> None:
-    """Publish the table without its duplicate rows."""
+    """Remove duplicate rows: in the folders that have any, or from a versioned table as a new version."""
+    if partition and current_version(spark, path) is None and files.partitions(spark, path, partition):
+        drop_duplicates_in_place(spark, path, partition, f"{path}/_distinct/{version}")
+        return
     publish(read_table(spark, path).dropDuplicates(), path, version, partition)
 
 

@@ -310,6 +310,7 @@ CTES = {
         SELECT s.*, coalesce(region_key, 0) AS region_key, coalesce(territory_key, 0) AS territory_key
         FROM w_sale_category s LEFT JOIN w_d_store t ON t.store_key = s.store_key
         LEFT JOIN w_region_name r ON r.r_name = t.region LEFT JOIN w_d_territory d ON d.n_name = t.territory""",
+    "w_order_month": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(o_totalprice AS DECIMAL(18,2)) AS due FROM orders""",
     # -- late members --
     "w_late_buyer": "SELECT * FROM w_buyer WHERE c_custkey % 50 <> 7",
     "w_late_goods": "SELECT * FROM w_goods WHERE p_partkey % 40 <> 3",
@@ -1024,6 +1025,58 @@ _SQL = {
         SELECT date_trunc('hour', ts) AS "SalesHour", event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "Revenue",
                count(*) AS "TransactionCount" FROM events GROUP BY 1, 2""",
     "stream_fact_load": f"SELECT {_LATE_OUT} FROM w_late WHERE miss_1 IS NULL AND miss_2 IS NULL",
+    # operations on stored tables
+    "batch_restart_totals": """
+        SELECT CAST(date_trunc('month', day) AS DATE) AS "Month", CAST(sum(revenue) AS DOUBLE) AS "RollupRevenue",
+               count(*) AS "RollupLines", CAST(sum(revenue) AS DOUBLE) AS "FactRevenue", count(*) AS "FactLines",
+               CAST(0 AS BIGINT) AS "OpenErrors" FROM w_sale GROUP BY 1""",
+    "load_validation_errors": """
+        WITH x AS (SELECT order_id, CASE WHEN product_id % 50 <> 3 THEN line_id END AS line,
+            CASE WHEN product_id % 50 = 4 THEN CAST(qty AS BIGINT) * 1000000000 ELSE qty END AS q,
+            CASE WHEN product_id % 50 IN (1, 3) THEN -revenue ELSE revenue END AS r FROM w_sold),
+        y AS (SELECT *, CASE WHEN line IS NULL THEN 'NULL_PK' WHEN q > 2147483647 THEN 'TYPE_MISMATCH' ELSE 'VALIDATION_FAIL' END AS kind,
+            concat_ws('; ', CASE WHEN line IS NULL THEN 'SalesOrderDetailID is NULL' END,
+            CASE WHEN q > 2147483647 THEN 'cannot convert QuantitySold to int' END,
+            CASE WHEN r < 0 THEN 'Negative revenue not allowed' END, CASE WHEN q <= 0 THEN 'Quantity must be positive' END,
+            CASE WHEN r < q * 0.01 THEN 'Unit price suspiciously low' END) AS v FROM x)
+        SELECT kind AS "ErrorType", CASE WHEN kind = 'NULL_PK' THEN 'CRITICAL' ELSE 'WARNING' END AS "ErrorSeverity", v AS "ErrorMessage",
+               CASE WHEN kind = 'NULL_PK' THEN 0 ELSE 1 END AS "IsRecoverable", count(*) AS "ErrorRows",
+               count(DISTINCT concat(order_id, '-', coalesce(CAST(line AS VARCHAR), 'None'))) AS "Records"
+        FROM y WHERE v <> '' GROUP BY ALL""",
+    "reload_emptied_periods": """
+        SELECT m AS "OrderMonth", count(*) AS "Orders", CAST(sum(due) AS DOUBLE) AS "TotalDue" FROM w_order_month
+        WHERE m < DATE '2000-01-01' OR month(m) NOT IN (2, 7) GROUP BY 1""",
+    "loaded_ranges": """
+        WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders
+                   WHERE o_custkey % 10 = 3 AND month(o_orderdate) NOT IN (3, 8)),
+        n AS (SELECT m, year(m) * 12 + month(m) - row_number() OVER (ORDER BY m) AS island FROM m)
+        SELECT 'FactSales' AS "SourceTable", min(m) AS "FirstDay",
+               CAST(max(m) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS "LastDay" FROM n GROUP BY island""",
+    "retention_then_load": """
+        SELECT CASE WHEN m >= DATE '1999-12-01' THEN 'live' ELSE 'archive' END AS "Place", m AS "OrderMonth",
+               count(*) AS "Orders" FROM w_order_month GROUP BY 1, 2""",
+    "duplicates_removed_in_place": """
+        SELECT m AS "OrderMonth", count(*) AS "Orders", count(*) AS "DistinctOrders" FROM w_order_month GROUP BY 1""",
+    "appended_facts": 'SELECT CAST(year(m) AS INTEGER) AS "Year", count(*) AS "Orders" FROM w_order_month GROUP BY 1',
+    "truncated_and_inserted": """
+        SELECT p_partkey, p_brand,
+               CAST(CAST('0x' || substr(md5(concat_ws('|', CAST(p_partkey AS VARCHAR), p_brand)), 1, 16) AS UBIGINT) AS VARCHAR) AS "WideKey"
+        FROM part WHERE p_partkey % 3 = 0""",
+    "logged_errors": """
+        SELECT CASE customer_id % 4 WHEN 0 THEN 'b1' ELSE 'b2' END AS "ProcessingBatchID", 'VALIDATION_FAIL' AS "ErrorType",
+               count(*) AS "Errors" FROM w_sold WHERE customer_id % 4 < 2 GROUP BY 1""",
+    "region_numbers_kept": """
+        SELECT r_name AS "RegionName", n_name AS "Country",
+               row_number() OVER (ORDER BY n_regionkey <= 1, r_name, n_name) AS "RegionID"
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "range_join_far_values": """
+        WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN NULL WHEN l_suppkey = 3 THEN 1000000000000
+                   WHEN l_suppkey = 4 THEN -1000000000000 ELSE CAST(trunc(l_extendedprice) AS BIGINT) END AS price FROM lineitem),
+        b AS (SELECT s_suppkey AS band, CASE WHEN s_suppkey % 50 = 1 THEN NULL ELSE s_suppkey * 611 % 60000 END AS low,
+              CASE WHEN s_suppkey % 50 = 2 THEN NULL WHEN s_suppkey % 50 = 3 THEN 2000000000000
+                   ELSE s_suppkey * 611 % 60000 + s_nationkey * s_nationkey * 20 - 30 END AS high FROM supplier)
+        SELECT band, count(*) AS "Lines", CAST(sum(price) AS VARCHAR) AS "PriceSum"
+        FROM l LEFT JOIN b ON (low IS NULL OR price >= low) AND (high IS NULL OR price <= high) AND price IS NOT NULL GROUP BY 1""",
     # data quality
     "dq_validate_measures": """
         WITH x AS (SELECT l_orderkey, l_linenumber,
@@ -1104,4 +1157,7 @@ _SQL = {
         FROM orders GROUP BY 1""",
 }
 
+#: A refresh of some months leaves the same roll-up as building all of it.
+_SQL["regional_growth_refresh"] = _SQL["agg_regional_sales"]
+
 ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}

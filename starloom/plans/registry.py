@@ -20,7 +20,7 @@ from starloom.functions.measures import exact_avg, money_sum
 from starloom.operators import facts as fact_builders
 from starloom.operators import fk as fk_ops
 from starloom.operators import joins, quality, quarantine, rollups, scd, sinks
-from starloom.plans import reports, views
+from starloom.plans import operations, reports, views
 from starloom.plans.warehouse import Warehouse
 from starloom.sources import calendar
 from starloom.sources.literals import literal_table
@@ -487,7 +487,7 @@ def range_join_aging(spark, folder):
     """Stock by aging tier through the general range join."""
     stock = _extract("FactInventory")(spark, folder)
     tiers = literal_table(spark, "DimAgingTier")
-    joined = joins.range_join(stock, tiers, "StockAging", "MinAgingDays", "MaxAgingDays", 100, ["AgingTierName"])
+    joined = joins.range_join(stock, tiers, "StockAging", "MinAgingDays", "MaxAgingDays", ["AgingTierName"])
     return joined.groupBy("AgingTierName").agg(
         F.count(F.lit(1)).alias("StockRows"), F.sum("QuantityOnHand").alias("Quantity")
     )
@@ -801,3 +801,9 @@ def stream_fact_load(spark, folder):
         sales, fact_builders.FACTS["FactSales"], key_maps, path, f"{path}/checkpoint", LOADED_AT
     ).awaitTermination()
     return spark.read.parquet(f"{path}/FactSales").drop("batch_id")
+
+
+# -- operations on stored tables ------------------------------------------------------
+
+for _query, _build in operations.QUERIES.items():
+    query(_query)(_build)

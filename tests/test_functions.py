@@ -177,6 +177,6 @@ def test_range_join_has_open_ends(spark):
 
     stock = spark.createDataFrame([(-3,), (5,), (250,), (10_000,), (12_345_678,), (None,)], "age int")
     tiers = spark.createDataFrame([(0, 30, "new"), (31, 999, "old"), (1000, 2_000_000_000, "older"), (None, -1, "negative")], "low int, high int, tier string")
-    got = {r.age: r.tier for r in range_join(stock, tiers, "age", "low", "high", 100, ["tier"]).collect()}
+    got = {r.age: r.tier for r in range_join(stock, tiers, "age", "low", "high", ["tier"]).collect()}
     assert got == {-3: "negative", 5: "new", 250: "old", 10_000: "older", 12_345_678: "older", None: None}
-    assert range_join(stock.limit(0), tiers, "age", "low", "high", 100, ["tier"]).count() == 0
+    assert range_join(stock.limit(0), tiers, "age", "low", "high", ["tier"]).count() == 0
