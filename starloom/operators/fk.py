@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.lookups import current, nullable_left_join, small_side
+from starloom.operators import validation
 from starloom.operators.facts import FACTS, FactSpec, FKSpec, record_natural_key
-from starloom.operators.quarantine import PAYLOAD_COLUMNS, build_error_records, payload_json
+from starloom.operators.quarantine import build_error_records, payload_json
 
 KeyMaps = Callable[[FKSpec], DataFrame]
 
@@ -71,14 +72,14 @@ class Resolved:
         self,
         batch_id: str = "manual",
         error_time: dt.datetime | None = None,
-        payload_columns: int | None = PAYLOAD_COLUMNS,
+        payload_columns: int | None = None,
         all_messages: bool = False,
     ) -> DataFrame:
         """One error record per rejected row.
 
         The message names the first missing key, or with ``all_messages`` every
-        one.  ``payload_columns=None`` records whole rows, so that they can be
-        replayed later.
+        one.  Whole rows are recorded, so that they can be replayed later;
+        ``payload_columns`` keeps only the first ones.
         """
         names = self.extract_columns[:payload_columns] if payload_columns else self.extract_columns
         message = F.concat_ws("; ", _MISSES) if all_messages else F.get(F.col(_MISSES), 0)
@@ -130,6 +131,15 @@ def resolve_fks(
     return Resolved(df.select(*kept), spec, extract_columns)
 
 
+def resolve_checked(rows: DataFrame, spec: FactSpec, key_maps: KeyMaps) -> Resolved:
+    """Check and resolve rows; what is wrong with a row counts as a miss, so that only sound rows are valid."""
+    resolved = resolve_fks(validation.checked(rows, spec), spec, key_maps)
+    resolved.extract_columns.remove(validation.VIOLATIONS)
+    messages = F.transform(validation.VIOLATIONS, lambda v: v["message"])
+    resolved.tagged = resolved.tagged.withColumn(_MISSES, F.concat(messages, _MISSES))
+    return resolved
+
+
 def attach_current(fact: DataFrame, dimension: DataFrame, natural_key: str, columns: Iterable[str]) -> DataFrame:
     """Query-time lookup by natural key, for facts that keep it: nothing is ever missing for good."""
     members = current(dimension).select(natural_key, *columns)

@@ -16,7 +16,7 @@ from starloom.sources.literals import error_taxonomy
 
 ERROR_COLUMNS = tuple(column_names("error_records"))
 
-#: Columns of the failed record kept in the log by default.
+#: Columns of the failed record in a short log entry.
 PAYLOAD_COLUMNS = 8
 # The retry policy.
 MAX_RETRIES = 3

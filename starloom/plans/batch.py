@@ -20,7 +20,7 @@ from starloom.functions.keys import WIDE_KEYS, KeyPolicy
 from starloom.operators import files, scd, sinks, validation
 from starloom.operators.dimensions import DIMENSIONS, DimSpec
 from starloom.operators.facts import FACTS, FactSpec
-from starloom.operators.fk import Resolved, resolve_fks
+from starloom.operators.fk import resolve_checked
 from starloom.operators.identities import register_numbers, with_registered_numbers
 from starloom.operators.ledger import BEGIN, FOREVER, Ledger, contiguous
 from starloom.operators.quarantine import apply_error_updates, retry_candidates, retry_errors
@@ -82,15 +82,6 @@ def load_dimensions(
     load_lookups(spark, root, as_of, batch_id, calendar_start)
 
 
-def resolve_checked(rows: DataFrame, spec: FactSpec, key_maps) -> Resolved:
-    """Check and resolve rows; what is wrong with a row counts as a miss, so that only sound rows are valid."""
-    resolved = resolve_fks(validation.checked(rows, spec), spec, key_maps)
-    resolved.extract_columns.remove(validation.VIOLATIONS)
-    messages = F.transform(validation.VIOLATIONS, lambda v: v["message"])
-    resolved.tagged = resolved.tagged.withColumn("_fk_misses", F.concat(messages, "_fk_misses"))
-    return resolved
-
-
 def load_fact(
     spark: SparkSession, spec: FactSpec, src: Mapping[str, DataFrame], root: str, as_of: dt.date, batch_id: str,
     since: dt.date | None = None, loaded_at: dt.datetime | None = None, keys: KeyPolicy = WIDE_KEYS,

@@ -1025,6 +1025,28 @@ _SQL = {
         SELECT date_trunc('hour', ts) AS "SalesHour", event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "Revenue",
                count(*) AS "TransactionCount" FROM events GROUP BY 1, 2""",
     "stream_fact_load": f"SELECT {_LATE_OUT} FROM w_late WHERE miss_1 IS NULL AND miss_2 IS NULL",
+    "stream_late_hours": """
+        WITH e AS (SELECT *, date_trunc('hour', ts) AS h FROM events),
+        c AS (SELECT max(ts) AS clock FROM events WHERE event_id % 10 <> 7)
+        SELECT h AS "SalesHour", event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "Revenue",
+               count(*) AS "TransactionCount",
+               count(*) FILTER (WHERE event_id % 10 = 7 AND h + INTERVAL 2 HOUR <= clock) AS "LateCount" FROM e, c GROUP BY 1, 2""",
+    "stream_waiting_facts": f"SELECT {_LATE_OUT} FROM w_sale",
+    "stream_dimension_merge": f"""
+        WITH f AS (
+            SELECT c_custkey AS id, c_name AS name, c_mktsegment AS seg, DATE '1996-01-01' AS since, 1 AS block FROM customer WHERE c_custkey % 13 <> 1
+            UNION ALL SELECT c_custkey, c_name, p || c_mktsegment, d, 2 FROM customer,
+                (VALUES ('A ', DATE '2001-01-01'), ('B ', DATE '2000-06-01'), ('A ', DATE '2000-01-01')) AS v(p, d) WHERE c_custkey % 10 = 3
+            UNION ALL SELECT c_custkey, c_name, c_mktsegment, DATE '2000-03-01', 2 FROM customer WHERE c_custkey % 10 = 4
+            UNION ALL SELECT c_custkey, c_name, c_mktsegment, DATE '2000-01-01', 2 FROM customer WHERE c_custkey % 13 = 1 AND c_custkey % 10 <> 3
+            UNION ALL SELECT c_custkey, c_name, 'EARLY ' || c_mktsegment, DATE '1998-01-01', 3 FROM customer WHERE c_custkey % 10 = 3
+            UNION ALL SELECT c_custkey, c_name, 'OTHER', DATE '1996-01-01', 3 FROM customer WHERE c_custkey % 10 = 4),
+        h AS (SELECT id, name, seg, since, lag(seg) OVER (PARTITION BY id ORDER BY since) AS was
+              FROM (SELECT id, name, seg, since FROM f QUALIFY row_number() OVER (PARTITION BY id, since ORDER BY block) = 1))
+        SELECT {key("id", "since")} AS "CustomerKey", id AS "CustomerID", name AS "CustomerName", seg AS "CustomerSegment",
+               since AS "ValidFromDate", coalesce(lead(since) OVER w, {FAR}) AS "ValidToDate",
+               CAST(lead(since) OVER w IS NULL AS INTEGER) AS "IsCurrent", row_number() OVER w AS "Version"
+        FROM h WHERE was IS DISTINCT FROM seg WINDOW w AS (PARTITION BY id ORDER BY since)""",
     # operations on stored tables
     "batch_restart_totals": """
         SELECT CAST(date_trunc('month', day) AS DATE) AS "Month", CAST(sum(revenue) AS DOUBLE) AS "RollupRevenue",

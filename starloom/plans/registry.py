@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,12 @@ from starloom.sources.tpch import (
     test_error_records,
     tpch_sources,
 )
+from starloom.streaming.changes import ChangeLog
 from starloom.streaming.loads import load_fact_stream
-from starloom.streaming.rollups import RollupState, hourly_sums, maintain_rollup, read_rollup, write_updates
+from starloom.streaming.rollups import (
+    RollupState, hourly_sums, maintain_hours, maintain_rollup, read_hours, read_rollup, write_updates,
+)
+from starloom.streaming.waiting import WaitingLoad
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,7 +267,7 @@ def fk_resolve_errors(spark, folder):
 @query("error_records_build")
 def error_records_build(spark, folder):
     resolved = gapped_warehouse(spark, folder).resolve("FactSales")
-    return resolved.errors(batch_id="batch_1", error_time=LOADED_AT)
+    return resolved.errors("batch_1", LOADED_AT, payload_columns=quarantine.PAYLOAD_COLUMNS)
 
 
 @query("late_dim_default")
@@ -803,6 +808,73 @@ def stream_fact_load(spark, folder):
     return spark.read.parquet(f"{path}/FactSales").drop("batch_id")
 
 
+def _arrive(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
+@query("stream_late_hours")
+def stream_late_hours(spark, folder):
+    """Event values per hour in four blocks, the last one with events that are up to weeks late."""
+    events, path = read_test_table(spark, folder, "events"), scratch_dir(spark, "stream")
+    late, amount = "event_id % 10 = 7", F.col("value").cast("decimal(18,2)")
+    parts = [f"NOT {late} AND ts < '2024-01-11'", f"NOT {late} AND ts >= '2024-01-11' AND ts < '2024-01-21'", f"NOT {late} AND ts >= '2024-01-21'", late]
+    for part in parts:
+        _arrive(events.filter(part), f"{path}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/events")
+        maintain_hours(stream, "ts", ["event_type"], amount, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    return read_hours(spark, f"{path}/state", ["event_type"])
+
+
+@query("stream_waiting_facts")
+def stream_waiting_facts(spark, folder):
+    """Order lines in three blocks; those of unknown customers and products wait until these are known."""
+    lines, path = read_test_table(spark, folder, "lineitem"), scratch_dir(spark, "stream")
+    _arrive(lines.limit(0), f"{path}/lines")  # the folder has to be there
+    stream = spark.readStream.schema(lines.schema).parquet(f"{path}/lines")
+    sales = fact_builders.build_fact_sales(tpch_sources(spark, folder, lineitem=stream), AS_OF)
+    members = [gapped_warehouse(spark, folder)]
+    load = WaitingLoad(spark, fact_builders.FACTS["FactSales"], sales.schema, lambda fk: members[-1].key_map(fk), path)
+    for number, part in enumerate(("l_linenumber <= 2", "l_linenumber IN (3, 4)", "l_linenumber > 4")):
+        if number == 2:
+            members.append(warehouse(spark, folder))  # the late members are here
+        _arrive(lines.filter(part), f"{path}/lines")
+        load.start(sales, f"{path}/checkpoint").awaitTermination()
+        for _ in range(2):
+            load.release(number)
+    return load.facts()
+
+
+@query("stream_dimension_merge")
+def stream_dimension_merge(spark, folder):
+    """Customer versions from a change feed in three blocks: several versions of a member in one of them, one out of order."""
+    customers, path = read_test_table(spark, folder, "customer"), scratch_dir(spark, "stream")
+
+    def change(where: str, day: str, segment: str = "c_mktsegment") -> DataFrame:
+        rows = customers.filter(where).selectExpr(
+            "c_custkey AS CustomerID", "c_name AS CustomerName", f"{segment} AS CustomerSegment", f"DATE'{day}' AS ValidFromDate"
+        )
+        return rows.select(surrogate_key("CustomerID", "ValidFromDate").alias("CustomerKey"), *rows.columns)
+
+    def union(*parts: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    moved, repeated, new = "c_custkey % 10 = 3", "c_custkey % 10 = 4", "c_custkey % 13 = 1"
+    blocks = (
+        change(f"NOT {new}", "1996-01-01"),
+        union(
+            change(moved, "2001-01-01", "concat('A ', c_mktsegment)"), change(moved, "2000-06-01", "concat('B ', c_mktsegment)"),
+            change(moved, "2000-01-01", "concat('A ', c_mktsegment)"), change(repeated, "2000-03-01"), change(f"{new} AND NOT {moved}", "2000-01-01"),
+        ),
+        union(change(moved, "1998-01-01", "concat('EARLY ', c_mktsegment)"), change(repeated, "1996-01-01", "'OTHER'")),
+    )
+    log = ChangeLog(spark, f"{path}/DimCustomer", "CustomerID", "CustomerKey", buckets=4)
+    for block in blocks:
+        _arrive(block, f"{path}/feed")
+        log.start(spark.readStream.schema(block.schema).parquet(f"{path}/feed"), f"{path}/checkpoint").awaitTermination()
+    log.fold(at_least=3)
+    return log.versions()
+
+
 # -- operations on stored tables ------------------------------------------------------
 
 for _query, _build in operations.QUERIES.items():
