@@ -16,6 +16,7 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,34 +32,53 @@ PATTERNS = {
 ENTROPY = "entropy"
 KINDS = (*PATTERNS, ENTROPY)
 WINDOW = 20
+#: Matches whose places are added up at a time.
+BLOCK = 128
 #: Runs as long as the window at least.
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-#: Class -> pattern of the whole candidate, characters it must have, bits that a window must reach.
+#: Class -> pattern of the whole candidate, characters it must all have, bits that a window must reach.
 CLASSES = {
-    "hex": (r"^[0-9A-F]+$|^[0-9a-f]+$", r"[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]", 3.05),
-    "base36": (r"^[0-9A-Z+/_=-]+$|^[0-9a-z+/_=-]+$", r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]", 3.45),
-    "base64": (r"^[A-Za-z0-9+/_=-]+$", r"^(?:.*[a-z].*[A-Z].*[0-9]|.*[a-z].*[0-9].*[A-Z]|.*[A-Z].*[a-z].*[0-9]|.*[A-Z].*[0-9].*[a-z]|.*[0-9].*[a-z].*[A-Z]|.*[0-9].*[A-Z].*[a-z])", 3.75),
-}
+    "hex": (r"^[0-9A-F]+$|^[0-9a-f]+$", ("[0-9]", "[A-Fa-f]"), 3.05),
+    "base36": (r"^[0-9A-Z+/_=-]+$|^[0-9a-z+/_=-]+$", ("[0-9]", "[A-Za-z]"), 3.45),
+    "base64": (r"^[A-Za-z0-9+/_=-]+$", ("[0-9]", "[A-Z]", "[a-z]"), 3.75),
+}
 #: Strings known to be no secrets: UUIDs, digests named as such, examples, runs of the alphabet or of digits.
 ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^(md5|sha1|sha256|sha384|sha512)[-=_]|example|placeholder|xxxx|0123456789|abcdefghij"
 
 
+def _ends(steps: Column) -> Column:
+    """Running totals of an array of integers.
+
+    Totals of blocks first, then within each block: appending to an array per item would copy it each time.
+    """
+    none = F.array().cast("array<int>")
+
+    def total(part):
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+    def within(offsets):
+        return F.transform(steps, lambda x, i: F.get(offsets, F.floor(i / BLOCK).cast("int")) + total(F.slice(steps, i - i % BLOCK + 1, i % BLOCK + 1)))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")), lambda b: total(F.slice(steps, b * BLOCK + 1, BLOCK)))
+    begin = F.struct(F.lit(0).alias("at"), none.alias("all"))
+    offsets = F.aggregate(blocks, begin, lambda s, x: F.struct((s.at + x).alias("at"), F.concat(s.all, F.array(s.at)).alias("all")))
+    return F.when(F.size(steps) == 0, none).otherwise(let(offsets, lambda o: within(o.all)))
+
+
 def _places(text: Column, pattern: str, kind: int) -> Column:
     """Array of (start, kind, end) of the leftmost matches that don't overlap."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
 
-    def walk(matches, pieces):
-        empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    def spans(matches, pieces):
+        steps = F.transform(matches, lambda m, i: F.length(F.get(pieces, i)) + F.length(m))
 
-        def step(state, i):
-            start = state.at + F.length(F.get(pieces, i))
-            end = start + F.length(F.get(matches, i))
-            return F.struct(end.alias("at"), F.concat(state.spans, F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))).alias("spans"))
+        def placed(ends):
+            return F.transform(matches, lambda m, i: F.struct((F.get(ends, i) - F.length(m)).alias("start"), F.lit(kind).alias("kind"), F.get(ends, i).alias("end")))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step).spans
+        return let(steps, lambda s: let(_ends(s), placed))
 
-    return let(found, lambda m: let(between, lambda p: walk(m, p)))
+    return let(found, lambda m: let(between, lambda p: spans(m, p)))
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -100,7 +120,8 @@ def _suspicious(candidate: Column) -> Column:
     """The first class that the candidate belongs to decides."""
     threshold = F.lit(None).cast("double")
     for pattern, needs, bits in reversed(CLASSES.values()):
-        threshold = F.when(candidate.rlike(pattern) & candidate.rlike(needs), F.lit(bits)).otherwise(threshold)
+        belongs = reduce(Column.__and__, [candidate.rlike(p) for p in (pattern, *needs)])  # each a single pass
+        threshold = F.when(belongs, F.lit(bits)).otherwise(threshold)
     asked = threshold.isNotNull() & ~candidate.rlike(ALLOWED)
     return F.when(asked, window_entropy(candidate) >= threshold).otherwise(F.lit(False))
 
