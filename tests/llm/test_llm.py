@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -108,6 +109,65 @@ def test_unigram_is_the_best_path():
         assert total == pytest.approx(best[-1])
 
 
+def test_pieces_are_the_best_path_and_come_back(spark, texts):
+    own = Unigram(MODEL, "zipf")
+    pieces = {own.text[i].encode(): own.score[i] for i in own.trie.value[own.trie.value >= 0]}
+    longest = max(len(p.decode()) for p in pieces)
+
+    def best(chars):
+        found = [0.0] + [-math.inf] * len(chars)
+        for end in range(1, len(chars) + 1):
+            for start in range(max(0, end - longest), end):
+                score = pieces.get(chars[start:end].encode(), own.unknown if end - start == 1 else -math.inf)
+                found[end] = max(found[end], found[start] + score)
+        return found[-1]
+
+    by_word = {}  # a marker stands at the start of a piece only, so the best path of a text is that of its words
+    rows = {r.doc_id: r for r in queries.op2_sentencepiece(spark, SMALL).collect()}
+    assert set(rows) == set(texts)
+    for doc, text in texts.items():
+        text, r = text or "", rows[doc]
+        assert r.round_trip and r.n_pieces == len(r.piece_ids)
+        assert own.decode(r.piece_ids) == text.replace(MARKER, " ")
+        words = [MARKER + w for w in text.replace(MARKER, " ").split(" ")] if text else []
+        wanted = sum(by_word[w] if w in by_word else by_word.setdefault(w, best(w)) for w in words)
+        unknown = sum(c.encode() not in pieces for w in words for c in w)
+        total = sum(own.score[i] for i in r.piece_ids if i not in own.byte.values()) + own.unknown * unknown
+        assert total == pytest.approx(wanted)
+
+
+def test_forgetting_changes_no_pieces(texts):
+    samples = [t or "" for t in texts.values()][:120] + ["y" * 200 + " a", ""]
+    plain, small = Unigram(MODEL, "zipf"), Unigram(MODEL, "zipf", cached=50)
+    wanted = plain.encode(samples)
+    assert [small.encode([t])[0] for t in samples] == wanted and len(small.number) < len(plain.number)
+    assert plain.coded(samples)[2] == [t.replace(MARKER, " ") for t in samples]
+
+
+def test_secret_scan_is_linear_in_long_runs(spark):
+    draw = random.Random(5)
+    runs = ["".join(draw.choice(letters) for _ in range(1_000_000)) for letters in ("ACGT", "abcXYZ", "0123456789")]
+    many = " ".join(f"password={i:09d}" for i in range(20_000))
+    docs = spark.createDataFrame([*enumerate(runs), (3, many)], "doc_id long, text string")
+    started = time.monotonic()
+    rows = {r.doc_id: r for r in find_secrets(docs).collect()}
+    assert time.monotonic() - started < 120
+    assert [rows[i].n_assign for i in range(4)] == [0, 0, 0, 20_000] and rows[2].n_hex == 1
+    assert rows[3].spans.startswith("assign:0:18,assign:19:37,") and rows[3].spans.count(",") == 19_999
+
+
+def test_secret_base_spans_by_brute_force(spark, texts):
+    kinds = {
+        "assign": (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
+        "access": (r"AKIA[A-Z0-9]+", 20, 0), "hex": (r"[0-9a-f]+", 24, 0),
+    }
+    rows = {r.doc_id: r for r in queries.op10_secret_scan(spark, SMALL).collect()}
+    for doc, text in texts.items():
+        spans = [(m.start(), i, k, m.end()) for i, (k, (p, n, g)) in enumerate(kinds.items()) for m in re.finditer(p, text or "") if len(m.group(g)) >= n]
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+        assert rows[doc].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def test_warc_round_trip(spark):
     pages = {r.page_id: r.html or "" for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     least = {}
