@@ -30,7 +30,7 @@ from starloom.llm.common import arrow_batches
 from starloom.llm.pretokens import LONGEST_CACHED, MARKER, pretokens, processor
 
 UNKNOWN_PENALTY = 10.0
-CACHED = 200_000
+CACHED = 500_000
 #: Longer pre-tokens (in bytes) are segmented one by one.
 SIDE_BY_SIDE = 64
 
@@ -107,7 +107,10 @@ class Unigram:
         self.byte = {int(self.text[i][3:5], 16): i for i in range(n) if own.is_byte(i)}
         self.unk = own.unk_id()
         self.raw = [bytes([int(t[3:5], 16)]) if own.is_byte(i) else b"" if own.is_control(i) else t.replace(MARKER, " ").encode() for i, t in enumerate(self.text)]
-        self.cached, self.recent = cached, {}
+        self.raw_all = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_ends = np.concatenate([[0], np.cumsum([len(r) for r in self.raw])])
+        self.cached = cached
+        self._forget()
 
     def _ids(self, raw: bytes, back: list[int], piece: list[int]) -> list[int]:
         """Follow the best edges back from the end."""
@@ -194,19 +197,75 @@ class Unigram:
             found.update(zip(part, self.many([raw[w] for w in part])))
         return found
 
+    # -- memory of pre-tokens: a number each, their pieces side by side in one array, what these decode to, last use --
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.spoken: list[str] = []
+        self.ends, self.ids, self.used, self.batches = np.zeros(1, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), 0
+
+    def _remember(self, found: dict[str, list[int]]) -> None:
+        start = len(self.number)
+        self.number.update(zip(found, range(start, start + len(found))))
+        sizes = np.fromiter(map(len, found.values()), np.int64, count=len(found))
+        flat = np.fromiter(chain.from_iterable(found.values()), np.int32, count=int(sizes.sum()))
+        self.spoken.extend(self._speak_all(flat, sizes))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, flat])
+        self.used = np.concatenate([self.used, np.full(len(found), self.batches)])
+
+    def _keep(self, kept: np.ndarray) -> None:
+        """Forget all pre-tokens but those with the given numbers (ascending)."""
+        words = list(self.number)
+        lengths = np.diff(self.ends)[kept]
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        self.ids = self.ids[np.repeat(self.ends[kept] - until[:-1], lengths) + np.arange(until[-1])]
+        self.ends, self.used = until, self.used[kept]
+        numbers = kept.tolist()
+        self.number = {words[n]: i for i, n in enumerate(numbers)}
+        self.spoken = [self.spoken[n] for n in numbers]
+
+    def _speak_all(self, flat: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """What the pieces of each pre-token stand for; the bytes of a character never lie in two pre-tokens."""
+        lengths = self.raw_ends[flat + 1] - self.raw_ends[flat]
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        joined = self.raw_all[np.repeat(self.raw_ends[flat] - until[:-1], lengths) + np.arange(until[-1])].tobytes()
+        bounds = until[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [joined[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+
+    def coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The pieces of all texts side by side, where each text begins (and the last one ends), and the decoded texts."""
+        split = [pretokens(t) for t in texts]
+        self.batches += 1
+        fresh = set(chain.from_iterable(split)) - self.number.keys()
+        long = [w for w in fresh if len(w) > LONGEST_CACHED]
+        self._remember(self.segment([w for w in fresh if len(w) <= LONGEST_CACHED]))
+        short = len(self.number)
+        self._remember(self.segment(long))
+        sizes = np.fromiter(map(len, split), np.int64, count=len(split))
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, count=int(sizes.sum()))
+        lengths = np.diff(self.ends)[numbers]
+        until = np.concatenate([[0], np.cumsum(lengths)])
+        flat = self.ids[np.repeat(self.ends[numbers] - until[:-1], lengths) + np.arange(until[-1])]
+        places = np.concatenate([[0], np.cumsum(sizes)])
+        spoken, listed, at = self.spoken.__getitem__, numbers.tolist(), places.tolist()
+        decoded = ["".join(map(spoken, listed[a:b])).removeprefix(" ") for a, b in zip(at, at[1:])]
+        self.used[numbers] = self.batches
+        if long or short > self.cached:  # long ones stay for this batch only; those unused for longest make room
+            recent = self.used[:short]
+            if short > self.cached:
+                recent = np.flatnonzero(recent >= np.partition(recent, short - self.cached // 2)[short - self.cached // 2])
+                self._keep(recent[-self.cached :])
+            else:
+                self._keep(np.arange(short))
+        return flat, until[places], decoded
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        split, recent = [pretokens(t) for t in texts], self.recent
-        missing = {w for words in split for w in words if w not in recent}
-        fresh = self.segment(list(missing))
-        table = recent | fresh if fresh else recent
-        found = [list(chain.from_iterable(map(table.__getitem__, words))) for words in split]
-        if len(table) > self.cached:
-            table = dict(list(fresh.items())[: self.cached])
-        self.recent = {w: ids for w, ids in table.items() if len(w) <= LONGEST_CACHED} if fresh else recent
-        return found
+        flat, bounds, _ = self.coded(texts)
+        return [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+        return "".join(self._speak_all(np.array(ids, np.int32), np.array([len(ids)]))).removeprefix(" ")
 
 
 @lru_cache(maxsize=2)
@@ -230,18 +289,16 @@ def encode_documents(docs: DataFrame, model: str, scores: str = "model", column:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = unigram(model, scores)
-        special = set(own.byte.values())
+        is_byte = np.zeros(len(own.text), bool)
+        is_byte[list(own.byte.values())] = True
         for batch in batches:
             texts = [t or "" for t in batch.column(column).to_pylist()]
-            ids = own.encode(texts)
-            decoded = [own.decode(x) for x in ids]
-            same = [d == t.replace(MARKER, " ") for d, t in zip(decoded, texts)]
+            flat, bounds, decoded = own.coded(texts)
+            same = [d == (t.replace(MARKER, " ") if MARKER in t else t) for d, t in zip(decoded, texts)]
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, count=int(offsets[-1]))
-            kept = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            is_byte = np.concatenate([[0], np.cumsum(np.isin(flat, list(special)))])
-            arrays += [pa.array(decoded, pa.string()), kept, pa.array(np.diff(offsets).astype(np.int64)), pa.array(np.diff(is_byte[offsets]).astype(np.int64)), pa.array(same, pa.bool_())]
+            kept = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))
+            bytes_until = np.concatenate([[0], np.cumsum(is_byte[flat])])
+            arrays += [pa.array(decoded, pa.string()), kept, pa.array(np.diff(bounds)), pa.array(np.diff(bytes_until[bounds])), pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return rows.mapInArrow(encode, schema)
