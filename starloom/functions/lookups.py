@@ -30,6 +30,11 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def small_enough(df: DataFrame, derived: bool = False) -> bool:
+    """Whether a table of the size of ``df`` may be broadcast; ``derived`` allows for rows that are built from it."""
+    return 0 <= planned_bytes(df) * (EXPANSION if derived else 1) <= broadcast_limit(df.sparkSession)
+
+
 def small_side(df: DataFrame, driver: DataFrame | None = None) -> DataFrame:
     """Hint ``df`` as broadcast only where its size is known to be small.
 
@@ -38,9 +43,8 @@ def small_side(df: DataFrame, driver: DataFrame | None = None) -> DataFrame:
     ``df``.  Beyond the limit ``df`` comes back unhinted and Spark shuffles (and
     splits skewed partitions) as usual.
     """
-    limit = broadcast_limit(df.sparkSession)
-    bound = planned_bytes(driver if driver is not None else df) * (EXPANSION if driver is not None else 1)
-    return F.broadcast(df) if 0 <= bound <= limit else df
+    small = small_enough(df) if driver is None else small_enough(driver, derived=True)
+    return F.broadcast(df) if small else df
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:

@@ -168,9 +168,10 @@ def _with_address(base: DataFrame, src: Sources, entity: str) -> DataFrame:
         "StateProvinceID", F.col("Name").alias("StateProvince"), "CountryRegionCode", F.col("TerritoryID").alias("_area")
     )
     country = src["Person.CountryRegion"].select("CountryRegionCode", F.col("Name").alias("Country"))
+    own = list(base.columns)  # members without an entity or an address are dealt by their own columns
     return (
-        base.join(link, entity, "left")
-        .join(address, "AddressID", "left")
+        nullable_left_join(base, link, entity, own)
+        .transform(nullable_left_join, address, "AddressID", own)
         .join(state, "StateProvinceID", "left")
         .join(country, "CountryRegionCode", "left")
     )

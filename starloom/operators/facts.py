@@ -265,7 +265,7 @@ def build_fact_customer_feedback(
         .join(product, "ProductID")
         .join(subcategory, "ProductSubcategoryID", "left")
         .join(category, "ProductCategoryID", "left")
-        .join(address, "_mail", "left")
+        .transform(nullable_left_join, address, "_mail", ["ProductReviewID"])
         .transform(nullable_left_join, customer, "_person", ["ProductReviewID"])
         .transform(nullable_left_join, employee, "_person", ["ProductReviewID"])
         .select(

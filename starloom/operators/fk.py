@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from starloom.functions.lookups import current, nullable_left_join, small_side
 from starloom.operators import validation
 from starloom.operators.facts import FACTS, FactSpec, FKSpec, record_natural_key
 from starloom.operators.quarantine import build_error_records, payload_json
+from starloom.operators.skew import split_left_join
 
 KeyMaps = Callable[[FKSpec], DataFrame]
 
@@ -35,8 +36,11 @@ def _miss_message(fk: FKSpec) -> Column:
     )
 
 
-def _look_up(df: DataFrame, fk: FKSpec, members: DataFrame, row_key: list[str]) -> DataFrame:
+def _look_up(df: DataFrame, fk: FKSpec, members: DataFrame, row_key: list[str], hot: Sequence | None) -> DataFrame:
     natural, surrogate = members.columns[0], members.columns[1]
+    if hot is not None:
+        side = members.select(F.col(natural).alias(fk.extract), F.col(surrogate).alias(fk.insert))
+        return split_left_join(df, side, fk.extract, hot, row_key)
     if fk.required:
         side = members.select(F.col(natural).alias("_nk"), F.col(surrogate).alias(fk.insert))
         return df.join(side, F.col(fk.extract) == F.col("_nk"), "left").drop("_nk")
@@ -102,6 +106,7 @@ def resolve_fks(
     *,
     on_missing: str = "quarantine",
     fks: Iterable[FKSpec] | None = None,
+    hot: Mapping[str, Sequence] | None = None,
 ) -> Resolved:
     """Attach the surrogate key of every foreign key in one pass.
 
@@ -109,6 +114,9 @@ def resolve_fks(
     key is a NULL key, not member 0.  A miss of a required key tags the row; an
     optional miss gets the default key.  With ``on_missing="default"`` required
     misses get the default key too (late-arriving members).
+
+    ``hot`` names natural keys per extracted column (see ``skew.heavy_keys``) whose rows, like those of NULL, are dealt
+    over the partitions of the join; needed where the member table is too large to be broadcast.
     """
     if on_missing not in ("quarantine", "default"):
         raise ValueError("on_missing is 'quarantine' or 'default'")
@@ -118,7 +126,7 @@ def resolve_fks(
     row_key = [fk.extract for fk in fks] + [c for c in spec.record_key if c in fact.columns]
     df = fact
     for fk in fks:
-        df = _look_up(df, fk, key_maps(fk), row_key)
+        df = _look_up(df, fk, key_maps(fk), row_key, (hot or {}).get(fk.extract))
     misses = [F.when(F.col(fk.insert).isNull(), _miss_message(fk)) for fk in fks if fk.required]
     if on_missing == "default" or not misses:
         tags = F.array().cast("array<string>")

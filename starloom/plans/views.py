@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.bands import band, first_match
 from starloom.functions.measures import exact_avg, percent, ratio
+from starloom.operators.skew import split_left_join
 
 CALENDAR = ["DateKey", "Year", "Month", "MonthName"]
 
@@ -53,9 +54,15 @@ def _attach(facts: DataFrame, wh, name: str, key: str, version: str = "current",
     version lose their attributes.  ``"as_loaded"`` keeps them.
     """
     members = wh.table(name) if version == "as_loaded" or name == "DimPromotion" else wh.current(name)
-    side = members.select(F.col(key).alias("_member"), *[F.col(c).alias(n) for n, c in columns.items()])
-    joined = facts.join(wh.bounded(side, name), F.col(fact_key or key) == F.col("_member"), "left")
-    return joined.drop("_member")
+    wanted = [F.col(c).alias(n) for n, c in columns.items()]
+    fact_key = fact_key or key
+    if wh.broadcastable(name):
+        side = members.select(F.col(key).alias("_member"), *wanted)
+        return facts.join(wh.bounded(side, name), F.col(fact_key) == F.col("_member"), "left").drop("_member")
+    # A shuffled join: facts without a member, and what was measured as hot, are dealt over all partitions.
+    side = members.select(F.col(key).alias(fact_key), *wanted)
+    apart = [c for c in facts.columns if c.endswith("Key") and c != fact_key]  # few columns, so that others are pruned
+    return split_left_join(facts, side, fact_key, wh.hot_keys(fact_key), apart)
 
 
 def _same(*names: str) -> dict[str, str]:

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import WIDE_KEYS, KeyPolicy
-from starloom.functions.lookups import current, small_side
+from starloom.functions.lookups import current, small_enough, small_side
 from starloom.operators.dimensions import DIMENSIONS
 from starloom.operators.facts import FACTS, FKSpec
 from starloom.operators.fk import Resolved, key_map, resolve_fks
 from starloom.operators.quarantine import ERROR_COLUMNS
 from starloom.operators.scd import initial_versions
+from starloom.operators.skew import NO_MEMBER, heavy_keys
 from starloom.sources import calendar
 from starloom.sources.literals import LITERAL_TABLES, literal_table
 
@@ -39,6 +40,7 @@ class Warehouse:
         self._drivers = dict(drivers or {})
         self._key_maps = dict(key_maps or {})
         self._planned: dict[str, DataFrame] = {}
+        self._hot: dict[str, list] = {}
 
     # -- construction -------------------------------------------------------
 
@@ -94,6 +96,7 @@ class Warehouse:
     def replaced(self, **tables: DataFrame) -> "Warehouse":
         """A copy in which some tables are given."""
         copy = Warehouse(self.spark, self._tables, self._drivers, self._key_maps)
+        copy._hot = dict(self._hot)
         for name, df in tables.items():
             copy._tables[name] = lambda df=df: df
             copy._drivers.pop(name, None)
@@ -131,6 +134,22 @@ class Warehouse:
         driver = self._drivers.get(dimension)
         return small_side(df, driver()) if driver else df
 
+    def broadcastable(self, dimension: str) -> bool:
+        """Whether ``dimension`` is joined without a shuffle: hinted by :meth:`bounded`, or stored and small by its files."""
+        driver = self._drivers.get(dimension)
+        if driver:
+            return small_enough(driver(), derived=True)
+        return small_enough(self.table(dimension))
+
+    def measure_hot_keys(self, fact: str, *keys: str, least_share: float = 0.02) -> dict[str, list]:
+        """Count the keys of a fact table; joins of the views on a column of that name deal out what holds at least ``least_share``."""
+        self._hot |= {key: heavy_keys(self.table(fact), key, least_share) for key in keys}
+        return {key: self._hot[key] for key in keys}
+
+    def hot_keys(self, key: str) -> list:
+        """Keys whose rows a shuffled join must not send to one task: no member, and the measured ones."""
+        return [NO_MEMBER, *[v for v in self._hot.get(key, []) if v != NO_MEMBER]]
+
     def side(self, name: str) -> DataFrame:
         """A whole dimension as a join side."""
         if name in LITERAL_TABLES:
