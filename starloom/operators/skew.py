@@ -36,9 +36,10 @@ def _is_hot(key: str, hot: Sequence) -> Column:
 
 
 def split_left_join(
-    rows: DataFrame, side: DataFrame, key: str, hot: Iterable, row_key: Sequence[str], slots: int | None = None
+    rows: DataFrame, side: DataFrame, key: str, hot: Iterable, row_key: Sequence[str], slots: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """``rows`` left joined to ``side`` on ``key``, the rows of NULL and of the ``hot`` keys dealt by ``row_key``.
+    """``rows`` left joined to ``side`` on ``key`` (and the columns ``also``), the rows of NULL and of the ``hot`` keys dealt by ``row_key``.
 
     ``side`` may hold several rows of a key; those of a hot key are repeated ``slots`` times, which is bounded by the
     number of hot keys.  Rows that agree in all of ``row_key`` stay together, so it should tell rows apart.
@@ -51,4 +52,4 @@ def split_left_join(
     rows = rows.withColumn("_slot", F.when(F.col(key).isNull() | _is_hot(key, hot), dealt).otherwise(first))
     everywhere = F.sequence(first, F.lit(slots - 1).cast("bigint"))
     side = side.withColumn("_slot", F.explode(F.when(_is_hot(key, hot), everywhere).otherwise(F.array(first))))
-    return rows.join(side, [key, "_slot"], "left").drop("_slot")
+    return rows.join(side, [key, *also, "_slot"], "left").drop("_slot")

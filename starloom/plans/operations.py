@@ -17,7 +17,8 @@ from starloom.operators.facts import FACTS
 from starloom.operators.identities import register_numbers
 from starloom.operators.joins import range_join
 from starloom.operators.ledger import Ledger, covered_ranges
-from starloom.plans import batch
+from starloom.operators.reach import load_reach
+from starloom.plans import batch, views
 from starloom.plans.warehouse import Warehouse
 from starloom.session import scratch_dir
 from starloom.sources.tpch import AS_OF, CALENDAR_START, read_test_table, tpch_sources
@@ -214,11 +215,34 @@ def range_join_far_values(spark: SparkSession, folder: str) -> DataFrame:
     return joined.groupBy("band").agg(F.count(F.lit(1)).alias("Lines"), F.sum("price").cast("decimal(38,0)").cast("string").alias("PriceSum"))
 
 
+def _sales_by_stored_reach(spark: SparkSession, folder: str, key: str, build) -> DataFrame:
+    """A view per member whose distinct counts are merged from words stored in two loads, a month of which runs twice."""
+    from starloom.plans.registry import warehouse
+
+    wh, path = warehouse(spark, folder), scratch_dir(spark, "reach")
+    kinds = [k for k in ("CustomerKey", "ProductKey", "StoreKey", "EmployeeKey") if k != key]
+    facts, day = wh.table("FactSales"), F.col("SalesDateKey")
+    loads = [day < F.lit(dt.date(1998, 3, 1)), day >= F.lit(dt.date(1998, 3, 1)), truncate("month", "SalesDateKey") == F.lit(dt.date(1997, 5, 1))]
+    for number, load in enumerate(loads):
+        load_reach(facts.filter(load), path, f"load{number}", key, "SalesDateKey", kinds)
+    return build(wh.replaced(**{f"reach:{key}": spark.read.parquet(f"{path}/words")}))
+
+
+def sales_by_store_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per store, distinct counts from stored words."""
+    return _sales_by_stored_reach(spark, folder, "StoreKey", views.sales_by_store)
+
+
+def sales_by_customer_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per customer, distinct counts from stored words."""
+    return _sales_by_stored_reach(spark, folder, "CustomerKey", views.sales_by_customer)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         batch_restart_totals, load_validation_errors, reload_emptied_periods, loaded_ranges, retention_then_load,
         duplicates_removed_in_place, appended_facts, truncated_and_inserted, logged_errors, region_numbers_kept,
-        regional_growth_refresh, range_join_far_values,
+        regional_growth_refresh, range_join_far_values, sales_by_store_merged, sales_by_customer_merged,
     )
 }

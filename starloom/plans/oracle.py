@@ -1181,5 +1181,8 @@ _SQL = {
 
 #: A refresh of some months leaves the same roll-up as building all of it.
 _SQL["regional_growth_refresh"] = _SQL["agg_regional_sales"]
+#: Counts merged from stored words are those of all facts.
+_SQL["sales_by_store_merged"] = _SQL["vw_sales_by_store"]
+_SQL["sales_by_customer_merged"] = _SQL["vw_sales_by_customer"]
 
 ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}
