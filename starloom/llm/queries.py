@@ -154,5 +154,14 @@ def _vector_codes_sql(rounds: int = 2, parts: int = 16, entries: int = 64) -> st
         FROM rows"""
 
 
+#: Each payload's least page is its response where the payload is long enough for revisits.
+_WARC_SQL = """
+    SELECT page_id, url, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+    FROM (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first_page
+          FROM (SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                       sha256(coalesce(html, '')) AS payload_digest FROM pages))"""
+
 #: SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {"op12_vector_codes": _vector_codes_sql()}
+ORACLE: dict[str, str] = {"op3_warc": _WARC_SQL, "op12_vector_codes": _vector_codes_sql()}
