@@ -282,6 +282,35 @@ def test_one_row_of_each_class_with_null_and_repeated_ids(spark):
     assert sorted((list(v) for v in keys.values()), key=str) == [[5], [5], [8], [None], [None], [None]]
 
 
+def test_copies_and_large_classes_lie_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(21)
+    words = [f"w{draw.randint(0, 10**9)}" for _ in range(80)]
+    variants = [" ".join(w if i != k else "other" for i, w in enumerate(words)) for k in range(40)]
+    apart = [" ".join(f"v{draw.randint(0, 10**9)}" for _ in range(30)) for _ in range(300)]
+    texts = [" ".join(words)] * 2000 + variants * 10 + apart
+    draw.shuffle(texts)
+    rows = [(None if n % 3 == 0 else n, t) for n, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = classes(table)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        got = found.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(sizes) < 3 * len(rows) / 8
+    least = min(i for i, t in rows if i is not None and t.split()[0] in ("other", words[0]))
+    alike = [r for r in got if r.class_id == least]
+    assert len(alike) == 2400 and len({r.class_key for r in alike}) == 1
+    assert collections.Counter(r.doc_id for r in got) == collections.Counter(i for i, _ in rows)
+    assert len({r.class_key for r in got}) == 301
+
+
 def test_chains_go_forward():
     assert chains([1, 5, 9, 9, 13], [101, 105, 3, 109, 113]) == [(1, 13, 101, 113), (9, 9, 3, 3)]
 
