@@ -10,8 +10,9 @@ exact percentiles of values rounded to ``DIGITS`` decimals, which bounds what an
 ``FLOORS`` on the diagonal (in transformed units) keeps statistics that are mostly zero from rejecting every row that
 is not zero, and keeps the covariance regular.
 
-A group of fewer than ``MIN_ROWS`` rows, five for each statistic, is pooled with the other small ones of its language, and those pools that are
-still small with each other; where even that is small there is no estimate and the base rules decide alone.
+Every estimate of n rows is shrunk: a source's with the weight n / (n + ``SHRINK``) towards its language's, that one in
+the same way towards the estimate of all rows, and the covariance of all rows towards the wide spread ``WIDE``.  The rule
+is the same at every size; a source of many rows is judged by itself, one of a few rows by its language.
 
 Defined cases: a null text has no words and fails the base rules; null language or source is a value like any other;
 equal rows get equal verdicts; an empty table gives an empty result; other columns are ignored, whatever their names.
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import SPACE_CLASS, content_key, filter_rows, let, staged
@@ -33,7 +34,9 @@ FLOORS = {"x_length": 0.06, "x_symbols": 0.10, "x_lines": 0.10, "x_repeats": 0.1
 FEATURES = tuple(FLOORS)
 #: Words of a neutral text added to every text, so that ratios of short texts scatter no more than those of long ones.
 NEUTRAL_WORDS, NEUTRAL_LENGTH = 50, 5.0
-SUBSET, STEPS, DIGITS, MIN_ROWS = 0.75, 3, 3, 20
+SUBSET, STEPS, DIGITS = 0.75, 3, 3
+#: Rows at which an estimate counts half (two for each statistic), and standard deviations granted without any row.
+SHRINK, WIDE = 8, 0.5
 #: Share of a normal population that the cut-off rejects.
 TAIL = 1e-4
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -135,25 +138,9 @@ def _same(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") ->
     return left.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
 
 
-def groups(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """(lang, source) -> g_lang, g_source, level: the group whose estimate judges it; level null where there is none."""
-    sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = sizes.where(F.col("n") < min_rows)
-    languages = small.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    rest = F.sum(F.when(F.col("n_lang") < min_rows, F.col("n_lang"))).over(Window.partitionBy())  # a row per language
-    told = _same(sizes, languages.withColumn("n_rest", rest), "lang", how="left")
-    level = (
-        F.when(F.col("n") >= min_rows, 0)
-        .when(F.col("n_lang") >= min_rows, 1)
-        .when(F.col("n_rest") >= min_rows, 2)
-    )
-    return told.select(
-        "lang", "source", level.alias("level"),
-        F.when(level < 2, F.col("lang")).alias("g_lang"), F.when(level < 1, F.col("source")).alias("g_source"),
-    )
-
-
+#: A group of rows that an estimate is made of: a source, a language, or all.
 GROUP = ("level", "g_lang", "g_source")
+PAIRS = [(i, k) for i in range(len(FEATURES)) for k in range(i + 1)]
 
 
 def _distance(centre: dict[str, Column], factor: dict[tuple[int, int], Column]) -> Column:
@@ -182,15 +169,15 @@ def _cholesky(cov: DataFrame) -> DataFrame:
     return cov
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
-    joined = _same(rows, estimate, *GROUP, how=how)
+def _with_distance(rows: DataFrame, estimate: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    joined = _same(rows, estimate, *keys, how=how)
     centre = {f: F.col(f"m_{f}") for f in FEATURES}
     factor = {(i, k): F.col(f"l_{i}_{k}") for i in range(len(FEATURES)) for k in range(i + 1)}
     return joined.withColumn("d2", _distance(centre, factor)).select(*rows.columns, "d2")
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Location m_* and factor l_* per group of :data:`GROUP`, from rows that carry the group and the features."""
+    """Rows n, location m_*, covariance c_* and factor l_* per group of :data:`GROUP`, from rows that carry the group and the features."""
     size, floor = len(FEATURES), [FLOORS[f] for f in FEATURES]
     rows = rows.where(~F.col("base_failed") & F.col("level").isNotNull())
     near = lambda c, p: F.percentile(F.round(c, DIGITS), F.lit(p))
@@ -199,23 +186,46 @@ def estimates(rows: DataFrame) -> DataFrame:
     start = {f"l_{i}_{k}": (F.greatest(1.4826 * F.col(f"d_{FEATURES[i]}"), F.lit(floor[i])) if i == k else F.lit(0.0)) for i in range(size) for k in range(i + 1)}
     estimate = staged(deviations.withColumns(start).drop(*[f"d_{f}" for f in FEATURES]), "mcd")
     for _ in range(STEPS):
-        far = _with_distance(rows, estimate).withColumn("d2", F.round(F.log(F.col("d2") + 1e-9), DIGITS))
-        limits = far.groupBy(*GROUP).agg(F.percentile("d2", F.lit(SUBSET)).alias("limit"))
+        far = _with_distance(rows, estimate, *GROUP).withColumn("d2", F.round(F.log(F.col("d2") + 1e-9), DIGITS))
+        limits = far.groupBy(*GROUP).agg(F.percentile("d2", F.lit(SUBSET)).alias("limit"), F.count(F.lit(1)).alias("n"))
         inside = _same(far, limits, *GROUP).where(F.col("d2") <= F.col("limit"))
-        pairs = [(i, k) for i in range(size) for k in range(i + 1)]
         moments = inside.groupBy(*GROUP).agg(
+            F.max("n").alias("n"),
             *[F.avg(f).alias(f"m_{f}") for f in FEATURES],
-            *[F.covar_pop(FEATURES[i], FEATURES[k]).alias(f"c_{i}_{k}") for i, k in pairs],
+            *[F.covar_pop(FEATURES[i], FEATURES[k]).alias(f"c_{i}_{k}") for i, k in PAIRS],
         )
-        estimate = staged(_cholesky(moments).drop(*[f"c_{i}_{k}" for i, k in pairs]), "mcd")
+        estimate = staged(_cholesky(moments), "mcd")
     return estimate
 
 
-def quality_verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
+def _shrunk(own: DataFrame, towards: DataFrame, *keys: str) -> DataFrame:
+    """``own`` (keys, n, m_*, c_*) moved towards the row of ``towards`` that has the same ``keys``, the fewer rows it has the more."""
+    numbers = [f"m_{f}" for f in FEATURES] + [f"c_{i}_{k}" for i, k in PAIRS]
+    joined = _same(own, towards.select(*keys, *[F.col(c).alias(f"t_{c}") for c in numbers]), *keys)
+    weight = F.col("n") / (F.col("n") + SHRINK)
+    return joined.withColumns({c: weight * F.col(c) + (1 - weight) * F.col(f"t_{c}") for c in numbers}).drop(*[f"t_{c}" for c in numbers])
+
+
+def shrunk_estimates(rows: DataFrame) -> DataFrame:
+    """Per (lang, source): location m_* and factor l_* that judge its rows."""
+    known = [f"m_{f}" for f in FEATURES] + [f"c_{i}_{k}" for i, k in PAIRS]
+    found = []
+    for level, (lang, source) in enumerate((("lang", "source"), ("lang", None), (None, None))):
+        # Level by level, so that the few rows of languages are broadcast whatever the number of sources.
+        none = F.lit(None).cast("string")
+        grouped = rows.withColumns({"level": F.lit(level), "g_lang": F.col(lang) if lang else none, "g_source": F.col(source) if source else none})
+        found.append(estimates(grouped).select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"), F.lit(0).alias("all"), "n", *known))
+    sources, languages, everything = found
+    weight = F.col("n") / (F.col("n") + SHRINK)
+    wide = {f"c_{i}_{k}": weight * F.col(f"c_{i}_{k}") + ((1 - weight) * WIDE**2 if i == k else 0.0) for i, k in PAIRS}
+    languages = _shrunk(languages, everything.withColumns(wide), "all")
+    return staged(_cholesky(_shrunk(sources, languages, "lang")).drop("all", "n", *[f"c_{i}_{k}" for i, k in PAIRS]), "mcd")
+
+
+def quality_verdicts(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Per row of ``docs``: doc_id, content, lang, source, the counts, base_failed, distance and kept."""
     rows = staged(measured(docs), "quality")
-    grouped = _same(rows, staged(groups(rows, min_rows), "mcd"), "lang", "source", how="left")
-    judged = _with_distance(grouped, estimates(grouped), how="left")
+    judged = _with_distance(rows, shrunk_estimates(rows), "lang", "source", how="left")
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
     return judged.select("doc_id", "content", "lang", "source", *COUNTS, "base_failed", F.sqrt("d2").alias("distance"), kept.alias("kept"))
 

@@ -356,7 +356,7 @@ def test_passages_apart_and_edited_at_their_ends(spark):
 
 
 def test_quality_rules_counts_and_verdicts(docs, texts):
-    rows = quality_verdicts(docs, min_rows=20).collect()
+    rows = quality_verdicts(docs).collect()
     for r in rows:
         w = re.findall(r"[^\x20\x09-\x0d]+", texts[r.doc_id])
         grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
@@ -378,6 +378,20 @@ def test_quality_verdicts_on_small_sources(spark):
     assert not kept.pop(100) and all(kept.values())
 
 
+def test_quality_estimates_shrink_at_every_size(spark):
+    """A source of few rows is judged by its language, and the verdicts of its rows don't jump with its size."""
+    draw = random.Random(5)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(3, 7))) for _ in range(n))
+    marked = " ".join(w + " ##" for w in prose(100).split())
+    rows = [(i, prose(200), "en", "large") for i in range(300)]
+    for size in (1, 2, 5, 19, 20, 21, 60):
+        rows += [(1000 * size + i, prose(200), "en", f"s{size}") for i in range(size)] + [(1000 * size + 999, marked, "en", f"s{size}")]
+    kept = {r.doc_id: r.kept for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {d for d, k in kept.items() if not k} == {1000 * size + 999 for size in (1, 2, 5, 19, 20, 21, 60)}
+    alone = quality_verdicts(spark.createDataFrame(rows[:3], "doc_id long, text string, lang string, source string")).collect()
+    assert all(r.kept and r.distance is not None for r in alone)
+
+
 def test_quality_estimate_equals_numpy(spark):
     from starloom.llm import quality_rules as q
 
