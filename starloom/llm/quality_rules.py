@@ -176,19 +176,24 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, *keys: str, how: str =
     return joined.withColumn("d2", _distance(centre, factor)).select(*rows.columns, "d2")
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Rows n, location m_*, covariance c_* and factor l_* per group of :data:`GROUP`, from rows that carry the group and the features."""
+def estimates(rows: DataFrame, single: bool = False) -> DataFrame:
+    """Rows n, location m_*, covariance c_* and factor l_* per group of :data:`GROUP`, from rows that carry the group and the features.
+
+    ``single`` says that all rows are one group.  Nothing is left to join by then, and Spark would plan a Cartesian
+    product, which reads the rows once per shuffle partition; the group's one row is broadcast instead.
+    """
+    per_group = F.broadcast if single else (lambda few: few)
     size, floor = len(FEATURES), [FLOORS[f] for f in FEATURES]
     rows = rows.where(~F.col("base_failed") & F.col("level").isNotNull())
     near = lambda c, p: F.percentile(F.round(c, DIGITS), F.lit(p))
     medians = rows.groupBy(*GROUP).agg(*[near(F.col(f), 0.5).alias(f"m_{f}") for f in FEATURES])
-    deviations = _same(rows, medians, *GROUP).groupBy(*GROUP, *[f"m_{f}" for f in FEATURES]).agg(*[near(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5).alias(f"d_{f}") for f in FEATURES])
+    deviations = _same(rows, per_group(medians), *GROUP).groupBy(*GROUP, *[f"m_{f}" for f in FEATURES]).agg(*[near(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5).alias(f"d_{f}") for f in FEATURES])
     start = {f"l_{i}_{k}": (F.greatest(1.4826 * F.col(f"d_{FEATURES[i]}"), F.lit(floor[i])) if i == k else F.lit(0.0)) for i in range(size) for k in range(i + 1)}
     estimate = staged(deviations.withColumns(start).drop(*[f"d_{f}" for f in FEATURES]), "mcd")
     for _ in range(STEPS):
-        far = _with_distance(rows, estimate, *GROUP).withColumn("d2", F.round(F.log(F.col("d2") + 1e-9), DIGITS))
+        far = _with_distance(rows, per_group(estimate), *GROUP).withColumn("d2", F.round(F.log(F.col("d2") + 1e-9), DIGITS))
         limits = far.groupBy(*GROUP).agg(F.percentile("d2", F.lit(SUBSET)).alias("limit"), F.count(F.lit(1)).alias("n"))
-        inside = _same(far, limits, *GROUP).where(F.col("d2") <= F.col("limit"))
+        inside = _same(far, per_group(limits), *GROUP).where(F.col("d2") <= F.col("limit"))
         moments = inside.groupBy(*GROUP).agg(
             F.max("n").alias("n"),
             *[F.avg(f).alias(f"m_{f}") for f in FEATURES],
@@ -214,11 +219,11 @@ def shrunk_estimates(rows: DataFrame) -> DataFrame:
         # Level by level, so that the few rows of languages are broadcast whatever the number of sources.
         none = F.lit(None).cast("string")
         grouped = rows.withColumns({"level": F.lit(level), "g_lang": F.col(lang) if lang else none, "g_source": F.col(source) if source else none})
-        found.append(estimates(grouped).select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"), F.lit(0).alias("all"), "n", *known))
+        found.append(estimates(grouped, single=lang is None).select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"), F.lit(0).alias("all"), "n", *known))
     sources, languages, everything = found
     weight = F.col("n") / (F.col("n") + SHRINK)
     wide = {f"c_{i}_{k}": weight * F.col(f"c_{i}_{k}") + ((1 - weight) * WIDE**2 if i == k else 0.0) for i, k in PAIRS}
-    languages = _shrunk(languages, everything.withColumns(wide), "all")
+    languages = _shrunk(languages, F.broadcast(everything.withColumns(wide)), "all")  # one row
     return staged(_cholesky(_shrunk(sources, languages, "lang")).drop("all", "n", *[f"c_{i}_{k}" for i, k in PAIRS]), "mcd")
 
 

@@ -392,6 +392,21 @@ def test_quality_estimates_shrink_at_every_size(spark):
     assert all(r.kept and r.distance is not None for r in alone)
 
 
+def test_quality_estimates_read_rows_once_per_step(spark, monkeypatch):
+    from starloom.llm import quality_rules as q
+
+    plans, stage = [], q.staged
+    monkeypatch.setattr(q, "staged", lambda df, purpose: (plans.append(df._jdf.queryExecution().executedPlan().toString()), stage(df, purpose))[1])
+    rows = [(i, f"some words of text number {i} " * 4, ("en", "de")[i % 2], f"s{i % 3}") for i in range(60)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the tables were large
+        q.shrunk_estimates(q.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) > 3 and not any("CartesianProduct" in p for p in plans)
+
+
 def test_quality_estimate_equals_numpy(spark):
     from starloom.llm import quality_rules as q
 
