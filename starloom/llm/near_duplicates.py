@@ -13,6 +13,8 @@ edit similarity alone it is some 1 in 10^4 at 0.9 and grows below that, as few f
 Entries are sorted by (entry, length, text) into ranges, so the rows of a frequent entry lie in many tasks, and each
 row is paired with the ``NEIGHBOURS`` before it, across the borders of the ranges too.  Rows of an entry are thus linked
 in chains whose number grows with the rows, whatever the size of a group; a group's chains differ from entry to entry.
+What the chains leave apart is then compared exactly (see :func:`apart`): all pairs that share an entry and lie in
+different components, so classes are those of all links, and a link that is not looked at joins texts of one class.
 
 Defined cases: null and empty texts are equal and form one class; texts without words are compared as they are; a row
 of a null id joins the class of its text but is never its name; classes that share a name (null or a repeated id) differ
@@ -40,6 +42,8 @@ THRESHOLD = 0.8
 SKETCHES, TAKEN, NEIGHBOURS = 48, 2, 2
 #: Share of the rows from which a text or a class is dealt over many tasks.
 HOT_SHARE = 0.005
+#: Bins of hashed words by which pairs that cannot be links are told, and texts that a task compares with the rest of an entry at once.
+BINS, BLOCK = 128, 256
 _ODD = np.random.default_rng(8).integers(1, 1 << 63, size=(2, SKETCHES), dtype=np.uint64) | np.uint64(1)
 
 
@@ -73,8 +77,14 @@ def _least(labelled: np.ndarray, functions: np.ndarray) -> np.ndarray:
     return np.stack([first, ranks.argmin(axis=1)])
 
 
+def bins_of(hashes: np.ndarray) -> bytes:
+    counts = np.bincount((hashes & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(content, n_words, entries, words) for each distinct text with words; ``words`` are their packed 32-bit numbers.
+    """(content, n_words, entries, words, bins) for each distinct text with words; ``words`` are their packed 32-bit
+    numbers, ``bins`` counts the words per bin (up to 255).
 
     Copies are collapsed in the tasks before anything moves, and from here on no text is read again.
     """
@@ -84,7 +94,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         hashes, seen = WordHashes(), set()
         with np.errstate(over="ignore"):
             for batch in batches:
-                ids, sizes, entries, packed = [], [], [], []
+                ids, sizes, entries, packed, bins = [], [], [], [], []
                 for content, text in zip(batch.column("content").to_pylist(), batch.column("text").to_pylist()):
                     if content in seen:
                         continue
@@ -96,13 +106,14 @@ def sketches(docs: DataFrame) -> DataFrame:
                         sizes.append(len(own))
                         entries.append(order_sketch(own))
                         packed.append(own.astype(np.uint32).tobytes())
+                        bins.append(bins_of(own))
                 flat = np.concatenate(entries).view(np.int64) if entries else np.empty(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * SKETCHES), pa.array(flat))
-                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), lists, pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["content", "n_words", "entries", "words"])
+                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), lists, pa.array(packed, pa.binary()), pa.array(bins, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["content", "n_words", "entries", "words", "bins"])
 
-    found = rows.mapInArrow(sketch, "content long, n_words int, entries array<long>, words binary")
-    return found.groupBy("content").agg(*[F.first(c).alias(c) for c in ("n_words", "entries", "words")])
+    found = rows.mapInArrow(sketch, "content long, n_words int, entries array<long>, words binary, bins binary")
+    return found.groupBy("content").agg(*[F.first(c).alias(c) for c in ("n_words", "entries", "words", "bins")])
 
 
 def candidates(sketched: DataFrame) -> DataFrame:
@@ -111,6 +122,79 @@ def candidates(sketched: DataFrame) -> DataFrame:
     return neighbours(rows, ("entry", "value", "node"), NEIGHBOURS, THRESHOLD).select("a", "b").distinct()
 
 
+def _may_link(x: dict[str, np.ndarray], y: dict[str, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the ``wanted`` pairs in different components that neither lengths nor bins rule out as links.
+
+    An edit distance is at least the surplus of words of either side, in bins too.
+    """
+    n, m = x["n_words"][:, None], y["n_words"][None, :]
+    i, j = np.nonzero(wanted & (x["root"][:, None] != y["root"][None, :]) & (np.minimum(n, m) >= THRESHOLD * np.maximum(n, m)))
+    kept = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 15):
+        own, other = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+        gap = x["bins"][own] - y["bins"][other]
+        positive, total = np.maximum(gap, 0).sum(axis=1, dtype=np.int64), gap.sum(axis=1, dtype=np.int64)
+        limit = (1 - THRESHOLD) * np.maximum(x["n_words"][own], y["n_words"][other]) + 1e-9
+        kept[at : at + (1 << 15)] = np.maximum(positive, positive - total) <= limit
+    return i[kept], j[kept]
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive by block, its own texts (part 0) first; those are held, the others pass by."""
+    names, block, own = ("root", "part", "node", "n_words", "bins"), None, None
+    take = lambda rows, which: {k: v[which] for k, v in rows.items()}
+    for batch in batches:
+        whole = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("entry", "slice", *names[:-1])}
+        whole["bins"] = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        changed = (whole["entry"][1:] != whole["entry"][:-1]) | (whole["slice"][1:] != whole["slice"][:-1])
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for low, high in zip(edges, edges[1:]):
+            if low == high:
+                continue
+            key, rows = (whole["entry"][low], whole["slice"][low]), {k: whole[k][low:high] for k in names}
+            if key != block:
+                block, own = key, take(rows, slice(0, 0))
+            fresh, others = take(rows, rows["part"] == 0), take(rows, rows["part"] > 0)
+            old = len(own["node"])
+            own = {k: np.concatenate([own[k], fresh[k]]) for k in names}
+            # Each pair once: of two texts that are both some block's own, by the one of the lesser number.
+            later = np.arange(len(own["node"]))[:, None] < old + np.arange(len(fresh["node"]))[None, :]
+            for side, wanted in ((fresh, later), (others, (others["part"] == 2)[None, :] | (own["node"][:, None] < others["node"][None, :]))):
+                i, j = _may_link(own, side, wanted)
+                if len(i):
+                    found.append((own["node"][i], side["node"][j]))
+        a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def apart(sketched: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that share an entry, lie in different components of ``labels`` (node, root), and may be links.
+
+    Entries whose rows are of one component have none, and up to ``NEIGHBOURS`` + 1 rows are all neighbours.  The rest
+    of an entry is compared block by block: the texts outside its largest component, ``BLOCK`` at a time, with all its
+    rows, which pass by in batches.  So memory is bounded, and the work on an entry is its rows times those outside.
+    """
+    near = labels.select(F.col("node").alias("__node"), "root")
+    texts = sketched.select("content", "n_words", "entries").join(near, F.col("content") == F.col("__node"), "left")
+    rows = texts.select(F.explode("entries").alias("entry"), F.col("content").alias("node"), "n_words", F.coalesce("root", "content").alias("root"))
+    ends = rows.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    mixed = staged(ends.where((F.col("low") < F.col("high")) & (F.col("n") > NEIGHBOURS + 1)).select("entry"), "entries")
+    rows = staged(rows.join(mixed, "entry", "left_semi"), "apart")
+    by_root = rows.groupBy("entry", "root").agg(F.count("*").alias("n"))
+    largest = by_root.groupBy("entry").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("outside"))
+    slices = F.ceil(F.col("outside") / BLOCK)
+    outside = F.col("root") != F.col("main")
+    blocks = (
+        rows.join(largest, "entry").join(sketched.select(F.col("content").alias("node"), "bins"), "node")
+        .withColumn("home", F.pmod(F.xxhash64("node"), slices))
+        .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
+        .withColumn("part", F.when(~outside, 2).otherwise((F.col("home") != F.col("slice")).cast("int")))
+    )
+    ordered = blocks.select("entry", "slice", "part", "root", "node", "n_words", "bins").repartition("entry", "slice").sortWithinPartitions("entry", "slice", "part")
+    return ordered.mapInArrow(_across, "a long, b long").distinct()
+
+
 def verified(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose alignment is close enough: (a, b, distance)."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
@@ -135,9 +219,14 @@ def verified(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
 def links(docs: DataFrame) -> DataFrame:
     """Verified links between distinct texts, by their content keys: (a, b, distance)."""
     arrow_batches(docs.sparkSession)
-    sketched = staged(sketches(docs), "sketches")
-    pairs = staged(candidates(sketched), "pairs")
-    return staged(verified(sketched, pairs), "verified")
+    return linked(staged(sketches(docs), "sketches"))
+
+
+def linked(sketched: DataFrame) -> DataFrame:
+    """The links between neighbours, and then those between the components that these leave apart."""
+    found = staged(verified(sketched, staged(candidates(sketched), "pairs")), "verified")
+    more = staged(apart(sketched, components(found)), "pairs")
+    return found if more.isEmpty() else staged(found.unionByName(verified(sketched, more)), "verified")
 
 
 def _hot(counts: DataFrame, key: str, total: int) -> list[int]:

@@ -392,6 +392,21 @@ def test_quality_estimates_shrink_at_every_size(spark):
     assert all(r.kept and r.distance is not None for r in alone)
 
 
+def test_links_beyond_neighbours_are_found(spark):
+    from starloom.llm import near_duplicates as n
+
+    rng = np.random.default_rng(5)
+    families, rows = [rng.integers(1, 1 << 60, 60).astype(np.uint64) for _ in range(7)], []
+    for copy in range(3):  # of one length under one entry, in the order of their numbers: a family's texts are 7 apart
+        for f, words in enumerate(families):
+            own = words.copy()
+            own[copy * 5 : copy * 5 + 4] += np.uint64(1 + copy)
+            rows.append((100 * copy + f, len(own), [1, 1000 + 100 * copy + f], bytearray(own.astype(np.uint32).tobytes()), bytearray(n.bins_of(own))))
+    sketched = n.staged(spark.createDataFrame(rows, "content long, n_words int, entries array<long>, words binary, bins binary"), "sketches")
+    found = {(r.a, r.b) for r in n.linked(sketched).collect()}
+    assert found == {(100 * i + f, 100 * k + f) for f in range(7) for i in range(3) for k in range(i + 1, 3)}
+
+
 def test_quality_estimates_read_rows_once_per_step(spark, monkeypatch):
     from starloom.llm import quality_rules as q
 
