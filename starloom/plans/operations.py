@@ -211,8 +211,11 @@ def range_join_far_values(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN s_suppkey % 50 = 2 THEN NULL WHEN s_suppkey % 50 = 3 THEN 2000000000000"
         " ELSE s_suppkey * 611 % 60000 + s_nationkey * s_nationkey * 20 - 30 END AS high",
     )
-    joined = range_join(lines, bands, "price", "low", "high", ["band"])
-    return joined.groupBy("band").agg(F.count(F.lit(1)).alias("Lines"), F.sum("price").cast("decimal(38,0)").cast("string").alias("PriceSum"))
+    # Lines of one price meet the same bands, so they are joined as one row.
+    prices = lines.groupBy("price").agg(F.count(F.lit(1)).alias("n"))
+    joined = range_join(prices, bands, "price", "low", "high", ["band"])
+    total = F.sum(F.col("price") * F.col("n")).cast("decimal(38,0)").cast("string")
+    return joined.groupBy("band").agg(F.sum("n").alias("Lines"), total.alias("PriceSum"))
 
 
 def _sales_by_stored_reach(spark: SparkSession, folder: str, key: str, build) -> DataFrame:

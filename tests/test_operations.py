@@ -257,3 +257,21 @@ def test_range_join_on_dates(spark):
     right = spark.createDataFrame([("a", D(2024, 12, 1), D(2025, 1, 10)), ("b", D(2025, 1, 15), None)], "n STRING, lo DATE, hi DATE")
     assert {r.day.day: r.n for r in range_join(left, right, "day", "lo", "hi", ["n"]).collect()} == {1: "a", 10: "a", 20: "b"}
     assert range_join(left, right.limit(0), "day", "lo", "hi", ["n"]).count() == 3
+
+
+def test_range_join_far_values_joins_each_price_once(spark, tmp_path, monkeypatch):
+    from starloom.plans import operations
+
+    lines = [(k, k % 4, 1 + k % 7, float(100 + k % 3)) for k in range(60)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber int, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 3) for i in range(5)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    met = []
+    monkeypatch.setattr(operations, "range_join", lambda left, *rest: (met.extend(r.price for r in left.collect()), range_join(left, *rest))[1])
+    got = {r.band: (r.Lines, r.PriceSum) for r in operations.range_join_far_values(spark, str(tmp_path)).collect()}
+    assert len(met) == len(set(met))
+    price = lambda k, s, n, p: None if n == 7 else 10**12 if s == 3 else int(p)
+    prices = [price(*line) for line in lines]
+    bands = {i: (None if i % 50 == 1 else i * 611, None if i % 50 == 2 else 2 * 10**12 if i % 50 == 3 else i * 611 + (i % 3) ** 2 * 20 - 30) for i in range(5)}
+    hits = {i: [p for p in prices if p is not None and (lo is None or p >= lo) and (hi is None or p <= hi)] for i, (lo, hi) in bands.items()}
+    hits[None] = [p for p in prices if p is None or not any(p in h for h in hits.values())]
+    assert got == {i: (len(h), str(sum(p for p in h if p is not None)) if any(p is not None for p in h) else None) for i, h in hits.items() if h}
