@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -94,3 +95,31 @@ def test_view_on_words_does_not_expand_the_facts(spark, tmp_path):
     assert "Expand" in plain._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in merged._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_counted_columns_repeat_no_sums(spark):
+    """Rows that Spark repeats per counted column hold keys alone; a product that is listed twice counts its sales twice, as in a join."""
+    draw = random.Random(5)
+    sales = [
+        (draw.choice([0, 0, 7, None, 9]), draw.choice([1, 2, 3, None]), draw.choice([4, 5, None]), draw.choice([6, 8]), dt.date(2001, 1, draw.randint(1, 9)), draw.randint(1, 5), 10, 1)
+        for _ in range(300)
+    ]
+    names = ("CustomerKey", "ProductKey", "StoreKey", "EmployeeKey", "SalesDateKey", "QuantitySold", "SalesRevenue", "DiscountAmount")
+    money, keys = "decimal(18,2)", "CustomerKey BIGINT, ProductKey BIGINT, StoreKey BIGINT, EmployeeKey BIGINT"
+    facts = spark.createDataFrame(sales, f"{keys}, SalesDateKey DATE, QuantitySold INT, SalesRevenue INT, DiscountAmount INT")
+    facts = facts.withColumns({c: F.col(c).cast(money) for c in ("SalesRevenue", "DiscountAmount")})
+    costs = {1: [2], 2: [3, 4]}
+    products = spark.createDataFrame([(p, c) for p, of in costs.items() for c in of], "ProductKey BIGINT, Cost INT").withColumn("Cost", F.col("Cost").cast(money))
+    wh = Warehouse(spark, {"FactSales": lambda: facts, "DimProduct": lambda: products})
+    counts = {"days": "SalesDateKey", "stores": "StoreKey", "products": "ProductKey", "employees": "EmployeeKey"}
+    stats = views._sales_by(wh, "CustomerKey", counts, False)
+    expands = re.findall(r"Expand .*", stats._jdf.queryExecution().optimizedPlan().toString())
+    assert expands and not any("SalesRevenue" in e for e in expands)
+    found = {r["_member"]: r for r in stats.collect()}
+    for member in (0, 7, 9):
+        own = [dict(zip(names, r)) for r in sales if r[0] == member]
+        joined = [(r, c) for r in own for c in costs.get(r["ProductKey"], [None])]
+        assert [found[member][n] for n in counts] == [len({r[c] for r in own} - {None}) for c in counts.values()]
+        assert (found[member]["_rows"], found[member]["_revenue"]) == (len(joined), 10 * len(joined))
+        assert found[member]["_gross"] == sum(9 - r["QuantitySold"] * c for r, c in joined if c is not None)
+        assert found[member]["_quantity"] == sum(r["QuantitySold"] for r, _ in joined)
