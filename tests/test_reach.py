@@ -123,3 +123,14 @@ def test_counted_columns_repeat_no_sums(spark):
         assert (found[member]["_rows"], found[member]["_revenue"]) == (len(joined), 10 * len(joined))
         assert found[member]["_gross"] == sum(9 - r["QuantitySold"] * c for r, c in joined if c is not None)
         assert found[member]["_quantity"] == sum(r["QuantitySold"] for r, _ in joined)
+
+
+def test_merged_view_resolves_the_facts_once(spark, monkeypatch):
+    """The loads and the view read the stored facts, not the sources."""
+    from starloom.plans import operations
+
+    read, load = [], operations.load_reach
+    monkeypatch.setattr(operations, "load_reach", lambda facts, *rest: (read.append(facts.inputFiles()), load(facts, *rest)))
+    operations._sales_by_stored_reach(spark, SMALL, "StoreKey", lambda wh: read.append(wh.table("FactSales").inputFiles()))
+    assert len(read) == 4
+    assert all(files and all("/facts/" in f for f in files) for files in read)
