@@ -126,3 +126,13 @@ def test_sales_without_a_store_lie_in_all_partitions(spark):
         joined = views._attach(wh.table("FactSales"), wh, "DimStore", "StoreKey", **columns).where("StoreKey = 0")
         assert joined.count() > 1000
         assert largest_share(joined) < 3 / PARTITIONS
+
+
+def test_wide_view_shuffles_the_facts_before_it_widens_them(spark, warehouse, monkeypatch):
+    """Members whose join is shuffled are attached first, then those that are broadcast and the calendar."""
+    order, attach, calendar = [], views._attach, views._calendar
+    monkeypatch.setattr(warehouse, "broadcastable", lambda name: name in ("DimCustomer", "DimEmployee"))
+    monkeypatch.setattr(views, "_attach", lambda f, wh, name, *a, **k: (order.append(name), attach(f, wh, name, *a, **k))[1])
+    monkeypatch.setattr(views, "_calendar", lambda *a, **k: (order.append("DimDate"), calendar(*a, **k))[1])
+    views.sales_extended_full(warehouse)
+    assert order == ["DimProduct", "DimStore", "DimCustomer", "DimEmployee", "DimDate"]
