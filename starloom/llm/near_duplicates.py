@@ -44,6 +44,8 @@ SKETCHES, TAKEN, NEIGHBOURS = 48, 2, 2
 HOT_SHARE = 0.005
 #: Bins of hashed words by which pairs that cannot be links are told, and texts that a task compares with the rest of an entry at once.
 BINS, BLOCK = 128, 256
+#: Bins of hashed pairs of words in a row, for the pairs of texts that the words leave.
+PAIR_BINS = 512
 _ODD = np.random.default_rng(8).integers(1, 1 << 63, size=(2, SKETCHES), dtype=np.uint64) | np.uint64(1)
 
 
@@ -78,13 +80,17 @@ def _least(labelled: np.ndarray, functions: np.ndarray) -> np.ndarray:
 
 
 def bins_of(hashes: np.ndarray) -> bytes:
-    counts = np.bincount((hashes & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """Words per bin, then pairs of words in a row per bin."""
+    parts = []
+    for values, many in ((hashes, BINS), (shingles(hashes, 2), PAIR_BINS)):
+        counts = np.bincount((values & np.uint64(many - 1)).astype(np.int64), minlength=many)
+        parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    return b"".join(parts)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
     """(content, n_words, entries, words, bins) for each distinct text with words; ``words`` are their packed 32-bit
-    numbers, ``bins`` counts the words per bin (up to 255).
+    numbers, ``bins`` counts the words, and the pairs of words in a row, per bin (up to 255).
 
     Copies are collapsed in the tasks before anything moves, and from here on no text is read again.
     """
@@ -125,30 +131,54 @@ def candidates(sketched: DataFrame) -> DataFrame:
 def _may_link(x: dict[str, np.ndarray], y: dict[str, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of the ``wanted`` pairs in different components that neither lengths nor bins rule out as links.
 
-    An edit distance is at least the surplus of words of either side, in bins too.
+    An edit distance is at least the surplus of words of either side, in bins too, and half the surplus of pairs of words
+    in a row, as an edit takes part in two of them on either side.
     """
     n, m = x["n_words"][:, None], y["n_words"][None, :]
     i, j = np.nonzero(wanted & (x["root"][:, None] != y["root"][None, :]) & (np.minimum(n, m) >= THRESHOLD * np.maximum(n, m)))
     kept = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 15):
-        own, other = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-        gap = x["bins"][own] - y["bins"][other]
-        positive, total = np.maximum(gap, 0).sum(axis=1, dtype=np.int64), gap.sum(axis=1, dtype=np.int64)
-        limit = (1 - THRESHOLD) * np.maximum(x["n_words"][own], y["n_words"][other]) + 1e-9
-        kept[at : at + (1 << 15)] = np.maximum(positive, positive - total) <= limit
+    for at in range(0, len(i), 1 << 13):
+        left = np.arange(at, min(at + (1 << 13), len(i)))
+        for bins, share in ((slice(0, BINS), 1), (slice(BINS, None), 2)):
+            own, other = i[left], j[left]
+            gap = x["bins"][own, bins] - y["bins"][other, bins]
+            positive, total = np.maximum(gap, 0).sum(axis=1, dtype=np.int64), gap.sum(axis=1, dtype=np.int64)
+            limit = share * np.floor((1 - THRESHOLD) * np.maximum(x["n_words"][own], y["n_words"][other]) + 1e-9)
+            left = left[np.maximum(positive, positive - total) <= limit]
+        kept[left] = True
     return i[kept], j[kept]
 
 
+def _close(x: dict[str, np.ndarray], y: dict[str, np.ndarray], entry: int, wanted: np.ndarray) -> list[tuple[int, int, int]]:
+    """Links (a, b, distance) among the ``wanted`` pairs of an entry, if it is the first entry that the two texts share."""
+    found = []
+    i, j = _may_link(x, y, wanted)
+    for at in range(0, len(i), 1 << 12):
+        own, other = i[at : at + (1 << 12)], j[at : at + (1 << 12)]
+        same = x["entries"][own] == y["entries"][other]
+        first = x["entries"][own, same.argmax(axis=1)] == entry
+        own, other = own[first], other[first]
+        pairs = [(np.frombuffer(x["words"][a], np.uint32), np.frombuffer(y["words"][b], np.uint32)) for a, b in zip(own, other)]
+        near = distances(pairs, [int((1 - THRESHOLD) * max(len(a), len(b)) + 1e-9) for a, b in pairs])
+        for a, b, d in zip(x["node"][own].tolist(), y["node"][other].tolist(), near):
+            if d is not None:
+                found.append((min(a, b), max(a, b), d))
+    return found
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows arrive by block, its own texts (part 0) first; those are held, the others pass by."""
-    names, block, own = ("root", "part", "node", "n_words", "bins"), None, None
+    names, block, own = ("root", "part", "node", "n_words", "bins", "entries", "words"), None, None
     take = lambda rows, which: {k: v[which] for k, v in rows.items()}
     for batch in batches:
-        whole = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("entry", "slice", *names[:-1])}
-        whole["bins"] = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        if not batch.num_rows:
+            continue
+        whole = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("entry", "slice", "root", "part", "node", "n_words", "words")}
+        whole["entries"] = np.asarray(batch.column("entries").flatten()).reshape(batch.num_rows, -1)
+        whole["bins"] = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS + PAIR_BINS).astype(np.int16)
         changed = (whole["entry"][1:] != whole["entry"][:-1]) | (whole["slice"][1:] != whole["slice"][:-1])
         edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[tuple[int, int, int]] = []
         for low, high in zip(edges, edges[1:]):
             if low == high:
                 continue
@@ -161,19 +191,19 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # Each pair once: of two texts that are both some block's own, by the one of the lesser number.
             later = np.arange(len(own["node"]))[:, None] < old + np.arange(len(fresh["node"]))[None, :]
             for side, wanted in ((fresh, later), (others, (others["part"] == 2)[None, :] | (own["node"][:, None] < others["node"][None, :]))):
-                i, j = _may_link(own, side, wanted)
-                if len(i):
-                    found.append((own["node"][i], side["node"][j]))
-        a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                found += _close(own, side, key[0], wanted)
+        columns = [pa.array([r[c] for r in found], pa.int64()) for c in range(3)]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "distance"])
 
 
 def apart(sketched: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that share an entry, lie in different components of ``labels`` (node, root), and may be links.
+    """Links (a, b, distance), a < b, of texts that share an entry and lie in different components of ``labels`` (node, root).
 
     Entries whose rows are of one component have none, and up to ``NEIGHBOURS`` + 1 rows are all neighbours.  The rest
     of an entry is compared block by block: the texts outside its largest component, ``BLOCK`` at a time, with all its
     rows, which pass by in batches.  So memory is bounded, and the work on an entry is its rows times those outside.
+    Pairs are aligned where they meet and never leave the task, each under the first entry that the two share: if that
+    one has too few rows to be here, they were neighbours.
     """
     near = labels.select(F.col("node").alias("__node"), "root")
     texts = sketched.select("content", "n_words", "entries").join(near, F.col("content") == F.col("__node"), "left")
@@ -186,13 +216,13 @@ def apart(sketched: DataFrame, labels: DataFrame) -> DataFrame:
     slices = F.ceil(F.col("outside") / BLOCK)
     outside = F.col("root") != F.col("main")
     blocks = (
-        rows.join(largest, "entry").join(sketched.select(F.col("content").alias("node"), "bins"), "node")
+        rows.join(largest, "entry").join(sketched.select(F.col("content").alias("node"), "bins", "entries", "words"), "node")
         .withColumn("home", F.pmod(F.xxhash64("node"), slices))
         .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
         .withColumn("part", F.when(~outside, 2).otherwise((F.col("home") != F.col("slice")).cast("int")))
     )
-    ordered = blocks.select("entry", "slice", "part", "root", "node", "n_words", "bins").repartition("entry", "slice").sortWithinPartitions("entry", "slice", "part")
-    return ordered.mapInArrow(_across, "a long, b long").distinct()
+    ordered = blocks.select("entry", "slice", "part", "root", "node", "n_words", "bins", "entries", "words").repartition("entry", "slice").sortWithinPartitions("entry", "slice", "part")
+    return ordered.mapInArrow(_across, "a long, b long, distance long")
 
 
 def verified(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -225,8 +255,7 @@ def links(docs: DataFrame) -> DataFrame:
 def linked(sketched: DataFrame) -> DataFrame:
     """The links between neighbours, and then those between the components that these leave apart."""
     found = staged(verified(sketched, staged(candidates(sketched), "pairs")), "verified")
-    more = staged(apart(sketched, components(found)), "pairs")
-    return found if more.isEmpty() else staged(found.unionByName(verified(sketched, more)), "verified")
+    return staged(found.unionByName(apart(sketched, components(found))), "verified")
 
 
 def _hot(counts: DataFrame, key: str, total: int) -> list[int]:

@@ -407,6 +407,24 @@ def test_links_beyond_neighbours_are_found(spark):
     assert found == {(100 * i + f, 100 * k + f) for f in range(7) for i in range(3) for k in range(i + 1, 3)}
 
 
+def test_pairs_between_components_are_aligned_where_they_meet(spark):
+    """Texts of the same words in another order are told apart by their pairs of words; links come out once, with their distance."""
+    from starloom.llm import near_duplicates as n
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(1, 1 << 60, 60).astype(np.uint64)
+    near = base.copy()
+    near[:5] += np.uint64(1)
+    texts = [base, near, *[rng.permutation(base) for _ in range(4)]]
+    side = {"root": np.arange(6), "n_words": np.full(6, 60), "bins": np.array([np.frombuffer(n.bins_of(t), np.uint8) for t in texts]).astype(np.int16)}
+    i, j = n._may_link(side, side, np.triu(np.ones((6, 6), bool), 1))
+    assert list(zip(i.tolist(), j.tolist())) == [(0, 1)]
+    rows = [(k, 60, [1, 2, 10 + k], bytearray(t.astype(np.uint32).tobytes()), bytearray(n.bins_of(t))) for k, t in enumerate(texts)]
+    sketched = n.staged(spark.createDataFrame(rows, "content long, n_words int, entries array<long>, words binary, bins binary"), "sketches")
+    nothing = spark.createDataFrame([], "node long, root long")
+    assert [tuple(r) for r in n.apart(sketched, nothing).select("a", "b", "distance").collect()] == [(0, 1, 5)]
+
+
 def test_quality_estimates_read_rows_once_per_step(spark, monkeypatch):
     from starloom.llm import quality_rules as q
 
