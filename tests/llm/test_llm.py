@@ -20,6 +20,7 @@ from starloom.llm.components import components
 from starloom.llm.decontamination import contained_items
 from starloom.llm.html_text import main_text
 from starloom.llm.near_duplicates import classes
+from starloom.llm.neighbours import neighbours
 from starloom.llm.pieces import MARKER, Unigram
 from starloom.llm.quality_rules import FEATURES, quality_verdicts
 from starloom.llm.repeated_passages import chains, passages
@@ -355,6 +356,35 @@ def test_passages_apart_and_edited_at_their_ends(spark):
     assert {d: sorted(spans) for d, spans in found.items()} == want
 
 
+def test_passages_whose_seeds_are_frequent(spark):
+    """Each seed of the shared passages stands in some twenty texts, which share less than a passage with the two that hold it."""
+    draw = random.Random(23)
+    words = lambda n: [f"w{draw.randint(0, 10**9)}" for _ in range(n)]
+    rows, want = [], {}
+    for group in range(8):
+        core, d = words(70), 100 * group
+        for full in (0, 1):
+            first = draw.randint(20, 60)
+            near = [w if i != 35 or not full else "changed" for i, w in enumerate(core)]
+            rows.append((d + full, words(first) + near + words(40)))
+            want[d + full] = (first, first + 70)
+        for piece in range(2, 52):
+            at = draw.randint(0, 42)
+            rows.append((d + piece, words(30) + core[at : at + 28] + words(30)))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = {}
+    for r in passages(table).collect():
+        assert r.similarity >= 0.8 and abs(r.doc_id - r.other_id) == 1
+        found[r.doc_id] = (r.begin, r.end)
+    assert found == want
+
+
+def test_neighbours_of_repeated_rows(spark):
+    rows = [(7, 1, 1), *[(7, 1, 2)] * 9, (7, 1, 3)]
+    found = neighbours(spark.createDataFrame(rows, "entry long, value int, node long"), ("entry", "node"), 2)
+    assert {(r.a, r.b) for r in found.collect()} == {(1, 2), (2, 3), (1, 3)}
+
+
 def test_quality_rules_counts_and_verdicts(docs, texts):
     rows = quality_verdicts(docs).collect()
     for r in rows:
