@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.alignment import distances
-from starloom.llm.common import arrow_batches, content_key, filter_rows, staged
+from starloom.llm.common import arrow_batches, content_key, filter_rows, gathered, staged
 from starloom.llm.components import components
 from starloom.llm.neighbours import neighbours
 from starloom.llm.words import SHINGLE, WordHashes, mixed, shingles, words_of
@@ -235,13 +235,13 @@ def verified(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
         both = both.join(numbers.select(F.col("content").alias(side), F.col("words").alias(f"words_{side}")).hint("merge"), side)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [[np.frombuffer(x, np.uint32) for x in batch.column(f"words_{s}").to_pylist()] for s in "ab"]
+        for some in gathered(batches, ("words_a", "words_b")):
+            sides = [[np.frombuffer(x, np.uint32) for x in some.column(f"words_{s}").to_pylist()] for s in "ab"]
             pairs = list(zip(*sides))
             limits = [int((1 - THRESHOLD) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
             found = distances(pairs, limits)
             ok = pa.array([i for i, d in enumerate(found) if d is not None], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok), pa.array([d for d in found if d is not None], pa.int64())], names=["a", "b", "distance"])
+            yield pa.RecordBatch.from_arrays([some.column(c).combine_chunks().take(ok) for c in "ab"] + [pa.array([d for d in found if d is not None], pa.int64())], names=["a", "b", "distance"])
 
     return both.select("a", "b", "words_a", "words_b").mapInArrow(align, "a long, b long, distance long")
 

@@ -14,7 +14,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from starloom.llm import queries
+from starloom.llm import alignment, queries
 from starloom.llm.alignment import distances
 from starloom.llm.components import components
 from starloom.llm.decontamination import contained_items
@@ -356,6 +356,22 @@ def test_passages_apart_and_edited_at_their_ends(spark):
     assert {d: sorted(spans) for d, spans in found.items()} == want
 
 
+def test_bands_as_narrow_as_the_distance_allows(monkeypatch):
+    """A path of distance d leaves the last diagonal by at most d / 2, and bounds that meet need no alignment."""
+    draw, widths = random.Random(31), []
+    banded = alignment._banded
+    monkeypatch.setattr(alignment, "_banded", lambda pairs, half: widths.append(half) or banded(pairs, half))
+    words = lambda n: np.array([draw.randint(0, 10**9) for _ in range(n)], np.uint32)
+    a, other = words(100), words(8)
+    replaced = a.copy()
+    replaced[20:60:5] = other
+    assert distances([(a, replaced)], [30]) == [8] and not widths
+    moved = np.concatenate([a[:10], a[14:90], other[:4], a[90:]])
+    assert distances([(a, moved)], [30]) == [8] and max(widths) == 4
+    widths.clear()
+    assert distances([(a, moved)], [30], [8]) == [8] and widths == [4]
+
+
 def test_passages_whose_seeds_are_frequent(spark):
     """Each seed of the shared passages stands in some twenty texts, which share less than a passage with the two that hold it."""
     draw = random.Random(23)
