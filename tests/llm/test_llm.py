@@ -10,11 +10,12 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 import corpus_pipeline
-from starloom.llm import alignment, queries
+from starloom.llm import alignment, queries, repeated_passages
 from starloom.llm.alignment import distances
 from starloom.llm.components import components
 from starloom.llm.decontamination import contained_items
@@ -25,6 +26,7 @@ from starloom.llm.pieces import MARKER, Unigram
 from starloom.llm.quality_rules import FEATURES, quality_verdicts
 from starloom.llm.repeated_passages import chains, passages
 from starloom.llm.secret_scan import WINDOW, find_secrets, redact, window_entropy
+from starloom.llm.words import WordHashes
 from tests.conftest import SMALL
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -535,3 +537,44 @@ def test_window_entropy_equals_brute_force(spark):
     for r in spark.createDataFrame([(s,) for s in samples], "s string").select("s", window_entropy(F.col("s")).alias("bits")).collect():
         entropy = lambda w: -sum(c / WINDOW * math.log2(c / WINDOW) for c in collections.Counter(w).values())
         assert r.bits == pytest.approx(max(entropy(r.s[i : i + WINDOW]) for i in range(len(r.s) - WINDOW + 1)))
+
+
+def test_occurrences_of_a_frequent_seed_are_compared_without_aligning_each_pair(monkeypatch):
+    """A common line too short for a passage leaves few of the pairs of a seed to be aligned; those with a passage are among them."""
+    rng, line, rows, aligned = np.random.default_rng(7), [f"line{i}" for i in range(30)], [], []
+    texts = [[*(f"a{w}" for w in rng.integers(0, 25, 81)), *line, *(f"b{w}" for w in rng.integers(0, 25, 81))] for _ in range(300)]
+    texts[1][111:135] = [*texts[0][111:115], "other", *texts[0][116:135]]
+    for n, words in enumerate(texts):
+        around = WordHashes().of(words).astype(np.uint32).tobytes()
+        rows.append({"entry": 1, "slice": 0, "part": 0, "root": n, "node": n, "value": 93, "around": around})
+
+    def counted(x, y, i, j):
+        aligned.append(len(i))
+        return may_align(x, y, i, j)
+
+    may_align = repeated_passages._may_align
+    monkeypatch.setattr(repeated_passages, "_may_align", counted)
+    (found,) = [b.to_pylist() for b in repeated_passages._across(iter([pa.RecordBatch.from_pylist(rows)]))]
+    assert [(r["a"], r["b"], r["a0"], r["b0"]) for r in found] == [(0, 1, 81, 81)] and found[0]["a1"] >= 135
+    assert sum(aligned) < 300  # of 44,850 pairs, of which every third shares three words in a row beside the line
+
+
+def test_shared_numbers_counted_by_list_and_by_pair():
+    rng = np.random.default_rng(5)
+    sets = [np.sort(np.where(rng.random((n, 40)) < 0.1, 2**32 - 1, rng.permuted(np.tile(np.arange(90), (n, 1)), axis=1)[:, :40]).astype(np.uint32), axis=1) for n in (33, 21)]
+    for low, counts in repeated_passages._listed(*sets):
+        for k, row in enumerate(counts):
+            other = set(sets[1][low + k].tolist()) - {2**32 - 1}
+            assert row.tolist() == [len(other & set(x.tolist())) for x in sets[0]]
+            assert row.tolist() == repeated_passages._shared(sets[0], np.tile(sets[1][low + k], (33, 1))).tolist()
+    assert low + len(counts) == 21
+
+
+def test_extents_are_those_of_the_extensions():
+    rng = np.random.default_rng(3)
+    x = rng.integers(1, 30, (200, 64)).astype(np.uint32)
+    y = np.where(rng.random((200, 64)) < 0.2, rng.integers(1, 30, (200, 64)), x).astype(np.uint32)
+    y[:80, 6:-1] = y[:80, 7:]
+    x[150:, 40:] = 0
+    pairs = [(u[u > 0], v) for u, v in zip(x, y)]
+    assert repeated_passages._extents(x, y).T.tolist() == [list(e[:2]) for e in repeated_passages.extensions(pairs)]
