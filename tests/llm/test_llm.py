@@ -559,6 +559,27 @@ def test_occurrences_of_a_frequent_seed_are_compared_without_aligning_each_pair(
     assert sum(aligned) < 300  # of 44,850 pairs, of which every third shares three words in a row beside the line
 
 
+def test_two_texts_are_compared_once_for_the_seeds_of_equal_words():
+    """They are passed on under each seed, with the begin of the words; a passage holds all of them."""
+    rng, line = np.random.default_rng(9), [f"line{i}" for i in range(30)]
+    texts = [[*(f"{n}a{w}" for w in rng.integers(0, 10**6, 120)), *line, *(f"{n}b{w}" for w in rng.integers(0, 10**6, 120))] for n in (0, 1)]
+    for at in range(100, 170, 6):  # five words in six are equal
+        texts[1][at + 1 : at + 6] = texts[0][at + 1 : at + 6]
+    hashes = [WordHashes().of(words).astype(np.uint32) for words in texts]
+    rows = [
+        {"entry": at, "slice": 0, "part": 0, "root": n, "node": n, "value": at, "around": hashes[n][at - 93 : at + 99].tobytes()}
+        for at in (120, 131, 144) for n in (0, 1)
+    ]
+    batch = pa.RecordBatch.from_pylist(rows)
+    pairs = [r for b in repeated_passages._across(iter([batch]), pass_on=True) for r in b.to_pylist()]
+    assert {(r["a"], r["b"], r["a0"] == r["b0"], r["similarity"]) for r in pairs} == {(0, 1, True, None)}
+    assert len({r["a0"] for r in pairs}) == 1 and [r["a1"] for r in pairs] == [120, 131, 144]
+    around = {f"part_{s}": hashes[n][120 - 93 : 144 + 99].tobytes() for n, s in enumerate("ab")}
+    once = pa.RecordBatch.from_pylist([{"a": 0, "b": 1, "at_a": 120, "at_b": 120, "more": 24, **around}])
+    (found,) = [r for b in repeated_passages._along(iter([once])) for r in b.to_pylist()]
+    assert found["a0"] <= 101 and found["a1"] >= 160 and found["similarity"] >= 0.8
+
+
 def test_shared_numbers_counted_by_list_and_by_pair():
     rng = np.random.default_rng(5)
     sets = [np.sort(np.where(rng.random((n, 40)) < 0.1, 2**32 - 1, rng.permuted(np.tile(np.arange(90), (n, 1)), axis=1)[:, :40]).astype(np.uint32), axis=1) for n in (33, 21)]
