@@ -559,6 +559,25 @@ def test_occurrences_of_a_frequent_seed_are_compared_without_aligning_each_pair(
     assert sum(aligned) < 300  # of 44,850 pairs, of which every third shares three words in a row beside the line
 
 
+def test_every_two_texts_of_a_frequent_seed_are_compared():
+    """A passage that joins two texts doesn't hide those of either with a third one."""
+    rng = np.random.default_rng(8)
+    passage, rows = [f"p{i}" for i in range(60)], []
+    for n in range(30):
+        words = [*(f"{n}a{w}" for w in rng.integers(0, 10**6, 73)), *passage, *(f"{n}b{w}" for w in rng.integers(0, 10**6, 59))]
+        words[73 + 2 + n] = f"other{n}"
+        value = 93 if not 20 <= 2 + n < 26 else 73 + 40
+        around = WordHashes().of(words).astype(np.uint32).tobytes()
+        rows.append({"entry": value, "slice": 0, "part": 0, "root": n, "node": n, "value": value, "around": around if value == 93 else around[4 * 20 :]})
+    rows = sorted(rows, key=lambda r: r["entry"])
+    found = [r for b in repeated_passages._across(iter([pa.RecordBatch.from_pylist(rows)])) for r in b.to_pylist()]
+    seeds = collections.defaultdict(list)
+    for r in rows:
+        seeds[r["entry"]].append(r["node"])
+    assert {(r["a"], r["b"]) for r in found} == {(a, b) for nodes in seeds.values() for a in nodes for b in nodes if a < b}
+    assert max(map(len, seeds.values())) == 24  # 276 pairs
+
+
 def test_two_texts_are_compared_once_for_the_seeds_of_equal_words():
     """They are passed on under each seed, with the begin of the words; a passage holds all of them."""
     rng, line = np.random.default_rng(9), [f"line{i}" for i in range(30)]
