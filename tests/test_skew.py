@@ -136,3 +136,13 @@ def test_wide_view_shuffles_the_facts_before_it_widens_them(spark, warehouse, mo
     monkeypatch.setattr(views, "_calendar", lambda *a, **k: (order.append("DimDate"), calendar(*a, **k))[1])
     views.sales_extended_full(warehouse)
     assert order == ["DimProduct", "DimStore", "DimCustomer", "DimEmployee", "DimDate"]
+
+
+def test_wide_view_shuffles_the_texts_of_customers_once(spark, warehouse, monkeypatch):
+    """Where all joins are shuffled, the employees, whom few sales have, come first and the customers last."""
+    order, attach = [], views._attach
+    monkeypatch.setattr(warehouse, "broadcastable", lambda name: False)
+    monkeypatch.setattr(views, "_attach", lambda f, wh, name, *a, **k: (order.append(name), attach(f, wh, name, *a, **k))[1])
+    view = views.sales_extended_full(warehouse)
+    assert order == ["DimEmployee", "DimProduct", "DimStore", "DimCustomer"]
+    assert view.columns.index("CustomerName") < view.columns.index("ProductName") < view.columns.index("EmployeeName")
